@@ -77,3 +77,29 @@ ORACLES = {
     "op4_line_dedup": OP4,
     "op10_mixing": OP10.replace("{cases}", " ".join(_position(k, knots, "share") for k, knots in enumerate(_SCHEDULES))),
 }
+
+#: all pairs of classes of equal sets, on as many documents as DuckDB can hold; components by recursion
+OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) END AS s FROM words
+),
+classes AS MATERIALIZED (SELECT min(doc_id) AS rep, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS MATERIALIZED (SELECT rep, n, unnest(s) AS x FROM classes),
+links AS MATERIALIZED (
+  SELECT a.rep AS a, b.rep AS b FROM items a JOIN items b ON a.x = b.x AND a.rep <> b.rep AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reach(node, seen) AS (
+  SELECT rep, rep FROM classes
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+),
+found AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT t.doc_id, len(t.s)::BIGINT AS n_shingles, coalesce(f.component, t.doc_id) AS component_id
+FROM sets t LEFT JOIN classes c ON len(t.s) > 0 AND c.s = t.s LEFT JOIN found f ON f.node = c.rep
+"""
+ORACLES["op5_ngram_jaccard"] = OP5

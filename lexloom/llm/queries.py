@@ -38,6 +38,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", d["n_lines"].alias("n_lines"), d["n_dropped"].alias("n_dropped"), F.sha2(F.encode(d["text"], "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), n_gram=3, percent=90)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokens import context_table, length_histogram, public_path
 
@@ -63,4 +69,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_line_dedup, op6_token_counts, op8_fingerprints, op9_warc, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_line_dedup, op5_ngram_jaccard, op6_token_counts, op8_fingerprints, op9_warc, op10_mixing)}
