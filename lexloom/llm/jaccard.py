@@ -206,15 +206,14 @@ def _sets(n_gram: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, n_gram: int = 5, percent: int = 80, frequent_share: float = 0.1875, most_frequent: int = 500_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, n_gram: int = 5, percent: int = 80, most_frequent: int = 500_000) -> DataFrame:
     """(id, n_shingles, component_id): documents link when their sets of ``n_gram`` words have a Jaccard
     similarity of at least ``percent`` / 100; the component is the smallest id reachable by links.
 
-    Frequencies are counted for the elements in the lowest ``frequent_share`` of the hash range, where
-    prefixes lie; those above ``max(64, elements / most_frequent)`` documents, at most ``most_frequent``
+    Frequencies are counted for the elements in the lowest part of the hash range, where prefixes lie; those above ``max(64, elements / most_frequent)`` documents, at most ``most_frequent``
     of them, are broadcast. Which elements count as frequent changes the work, never the links.
     """
-    spark = docs.sparkSession
+    spark, frequent_share = docs.sparkSession, min(1.0, 0.02 + 1.7 * (1 - percent / 100))
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("ll_id"), F.col(text_col).alias("ll_text"))
     described = cut(slim.mapInArrow(_describe(n_gram), f"ll_id {kind}, n int, cls long, s0 long, s1 long, s2 long, s3 long"), "shingle-sets")

@@ -127,16 +127,14 @@ def training_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` as the mix reads them, in training order: a document once an epoch that
     reads it, its text cut after the words taken; a struct column ``mix`` has epoch, taken and position.
 
-    Rows that share an id meet by id, size and copy number."""
-    def numbered(df: DataFrame, key: str) -> DataFrame:
-        w = Window.partitionBy(key, "size").orderBy(F.lit(0))
-        return df.withColumn("ll_copy", F.row_number().over(w))
-
+    Rows that share an id and a size meet in the order of their text's hash and their place in the stream.
+    """
+    copy = lambda key, size, order: F.row_number().over(Window.partitionBy(key, size).orderBy(order))
     sized = docs.withColumn("ll_key", F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).withColumn("ll_size", words_in(F.col(text_col)))
     slim = sized.select(F.col("ll_key").alias("ll_id"), F.col(source_col).cast("string").alias("ll_source"), F.col("ll_size").alias("size"))
-    plan = plan_mix(slim, **options).withColumn("size", F.col("size"))
-    plan = numbered(plan.where("taken > 0"), "ll_id").select(F.col("ll_id").alias("ll_key"), F.col("size").alias("ll_size"), "ll_copy", "parts")
-    rows = sized.withColumn("ll_copy", F.row_number().over(Window.partitionBy("ll_key", "ll_size").orderBy(F.lit(0))))
+    plan = plan_mix(slim, **options).withColumn("ll_copy", copy("ll_id", "size", "start")).where("taken > 0")
+    plan = plan.select(F.col("ll_id").alias("ll_key"), F.col("size").alias("ll_size"), "ll_copy", "parts")
+    rows = sized.withColumn("ll_copy", copy("ll_key", "ll_size", F.xxhash64(text_col)))
     rows = rows.join(plan, ["ll_key", "ll_size", "ll_copy"]).withColumn("mix", F.explode("parts"))
     # a word with the white space around it, so that a whole text comes back as it was
     pieces = F.split(F.col(text_col), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")

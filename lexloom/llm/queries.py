@@ -50,6 +50,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_table(length_histogram(table(spark, sf_dir, "documents"), path=public_path("byte_bpe_50k.json")))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import replace_pii
+
+    out = replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), key=b"surrogates")
+    return out.select("doc_id", "text", F.col("pii.n_entities").alias("n_entities"), F.col("pii.entities").alias("entities"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprint import edited_fingerprints, op_columns
 
@@ -69,4 +76,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_line_dedup, op5_ngram_jaccard, op6_token_counts, op8_fingerprints, op9_warc, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_line_dedup, op5_ngram_jaccard, op6_token_counts, op7_pii, op8_fingerprints, op9_warc, op10_mixing)}
