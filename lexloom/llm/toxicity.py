@@ -30,17 +30,46 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 17
+BITS = 20
 TOKEN = re.compile(r"\w+(?:[*@$!#]+\w+)*")
 PAD = 5
 _CAP = 30.0
 
 
-def pieces(word: str) -> set[int]:
-    """Hashed features of a word: the word and its character 3- to 5-grams, with its ends marked."""
-    w = f"^{word.lower()[:64]}$"
-    grams = {w} | {w[i : i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)}
-    return {zlib.crc32(g.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for g in grams}
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def piece_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words: each word and its character 3- to 5-grams, with its ends marked. One array
+    of feature numbers for all, and where each word's begin."""
+    marked = ["^" + w.lower()[:64] + "$" for w in words]
+    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) for w in marked], np.int64)
+    begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    owner = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(begin + sizes, sizes) - np.arange(len(chars))  # characters from here to the word's end
+    features, owners = [], []
+    with np.errstate(over="ignore"):
+        for n in (3, 4, 5):
+            at = np.flatnonzero(left >= n)
+            h = np.full(len(at), n, np.uint64)
+            for k in range(n):
+                h = h * _MIX + chars[at + k] + np.uint64(1)
+            features.append(h)
+            owners.append(owner[at])
+        whole = np.add.reduceat((chars + np.uint64(1)) * _powers(len(chars), sizes, begin), begin) if len(words) else np.zeros(0, np.uint64)
+        features.append(whole + np.uint64(77))
+        owners.append(np.arange(len(words)))
+        h = np.concatenate(features) * np.uint64(0xD6E8FEB86659FD93)
+    number = (h >> np.uint64(64 - BITS)).astype(np.int64)
+    who = np.concatenate(owners)
+    order = np.argsort(who, kind="stable")
+    return number[order], np.searchsorted(who[order], np.arange(len(words)))
+
+
+def _powers(n: int, sizes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    table = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(80, _MIX, np.uint64))])
+    return table[np.arange(n) - np.repeat(begin, sizes)]
 
 
 @dataclass
@@ -50,39 +79,82 @@ class Model:
     chain: np.ndarray  # log of the 2 x 2 transition factors
     score: np.ndarray  # constant, largest marginal, expected count
 
-    def evidence(self, word: str) -> float:
-        return float(np.clip(self.weights[list(pieces(word))].sum() + self.bias, -_CAP, _CAP))
+    def evidence(self, words: list[str]) -> np.ndarray:
+        if not words:
+            return np.zeros(0)
+        features, begin = piece_table(words)
+        return np.clip(np.add.reduceat(self.weights[features], begin) + self.bias, -_CAP, _CAP)
 
 
-def marginals(chain: np.ndarray, evidence: list[np.ndarray]) -> list[np.ndarray]:
-    """Log-odds of the toxic state at each position of each sequence, by forward-backward over all
-    sequences at once; exact whatever their lengths."""
-    a = np.exp(chain)
-    order = sorted(range(len(evidence)), key=lambda i: -len(evidence[i]))
-    lengths = np.array([len(evidence[i]) for i in order], dtype=np.int64)
-    starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    if not lengths.sum():
-        return [np.zeros(0) for _ in evidence]
-    e = np.concatenate([evidence[i] for i in order]).astype(float)
-    forward, backward = np.empty_like(e), np.zeros_like(e)
-    longest = int(lengths.max())
-    active = np.searchsorted(-lengths, -np.arange(longest), side="left")  # sequences longer than t
-    at = starts[: active[0]]
-    forward[at] = e[at]
+_STRETCH = 256
+
+
+def _step(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Log-odds that a message of log-odds x brings to the next position."""
+    x = np.exp(np.clip(x, -50, 50))
+    return np.log((a[0, 1] + a[1, 1] * x) / (a[0, 0] + a[1, 0] * x))
+
+
+def _run(a: np.ndarray, e: np.ndarray, starts: np.ndarray, sizes: np.ndarray, incoming: np.ndarray) -> np.ndarray:
+    """Messages along stretches of ``e``, all stretches at once; ``incoming`` is nan where one begins a
+    sequence."""
+    out = np.zeros(len(e))
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes, incoming = starts[order], sizes[order], incoming[order]
+    begins = np.isnan(incoming)
+    out[starts] = e[starts] + np.where(begins, 0.0, _step(a, np.where(begins, 0.0, incoming)))
+    longest = int(sizes[0]) if len(sizes) else 0
+    active = np.searchsorted(-sizes, -np.arange(longest), side="left")
     for t in range(1, longest):
         at = starts[: active[t]] + t
-        x = np.exp(np.clip(forward[at - 1], -50, 50))
-        forward[at] = e[at] + np.log((a[0, 1] + a[1, 1] * x) / (a[0, 0] + a[1, 0] * x))
-    for t in range(longest - 2, -1, -1):
-        at = starts[: active[t + 1]] + t
-        x = np.exp(np.clip(e[at + 1] + backward[at + 1], -50, 50))
-        backward[at] = np.log((a[1, 0] + a[1, 1] * x) / (a[0, 0] + a[0, 1] * x))
-    both, out = forward + backward, [None] * len(evidence)
-    for k, i in enumerate(order):
-        out[i] = both[starts[k] : starts[k] + lengths[k]]
+        out[at] = e[at] + _step(a, out[at - 1])
     return out
 
 
+def _messages(a: np.ndarray, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Forward messages of all sequences. Long ones are cut into stretches: what a stretch does to any
+    message is a fractional linear map, so maps are multiplied up for all stretches at once, messages
+    handed from stretch to stretch, and then all stretches run side by side. Exact at any length."""
+    per = -(-lengths // _STRETCH)
+    level = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    starts = np.repeat(np.cumsum(lengths) - lengths, per) + level * _STRETCH
+    sizes = np.minimum(np.repeat(lengths, per) - level * _STRETCH, _STRETCH)
+    incoming, last = np.full(len(starts), np.nan), level + 1 == np.repeat(per, per)
+    if (per > 1).any():
+        head, middle = np.flatnonzero((level == 0) & ~last), np.flatnonzero((level > 0) & ~last)
+        whole = np.full(len(head), _STRETCH)
+        sent = np.full(len(starts), np.nan)
+        sent[head] = _run(a, e, starts[head], whole, np.full(len(head), np.nan))[starts[head] + _STRETCH - 1]
+        p, q, r, s = np.ones(len(middle)), np.zeros(len(middle)), np.zeros(len(middle)), np.ones(len(middle))
+        for t in range(_STRETCH):
+            up = np.exp(np.clip(e[starts[middle] + t], -_CAP, _CAP))
+            p, q, r, s = up * (a[1, 1] * p + a[0, 1] * r), up * (a[1, 1] * q + a[0, 1] * s), a[1, 0] * p + a[0, 0] * r, a[1, 0] * q + a[0, 0] * s
+            scale = np.maximum(np.maximum(p, q), np.maximum(r, s))
+            p, q, r, s = p / scale, q / scale, r / scale, s / scale
+        place = np.zeros(len(starts), np.int64)
+        place[middle] = np.arange(len(middle))
+        for k in range(1, int(per.max())):
+            now = np.flatnonzero(level == k)
+            incoming[now] = sent[now - 1]
+            on = now[~last[now]]
+            x, m = np.exp(np.clip(incoming[on], -50, 50)), place[on]
+            sent[on] = np.log((p[m] * x + q[m]) / (r[m] * x + s[m]))
+    return _run(a, e, starts, sizes, incoming)
+
+
+def marginals(chain: np.ndarray, evidence: list[np.ndarray]) -> list[np.ndarray]:
+    """Log-odds of the toxic state at each position of each sequence, by forward-backward."""
+    a, lengths = np.exp(chain), np.array([len(x) for x in evidence], np.int64)
+    if not lengths.sum():
+        return [np.zeros(0) for _ in evidence]
+    some = lengths > 0
+    e = np.concatenate([x for x in evidence if len(x)]).astype(float)
+    forward = _messages(a, e, lengths[some])
+    # backward messages are forward ones of the reversed sequences and the transposed chain
+    backward = _messages(a.T, e[::-1], lengths[some][::-1])[::-1]
+    return np.split(forward + backward - e, np.cumsum(lengths)[:-1])
+
+
 def _near_copies(texts: list[str], size: int = 16) -> list[int]:
     """A group for each text: texts that share half of a sketch of their word triples with its first."""
     leaders, sketches, group = defaultdict(list), {}, []
@@ -102,39 +174,30 @@ def _near_copies(texts: list[str], size: int = 16) -> list[int]:
     return group
 
 
-def _toxic_features(docs: list[set[str]], toxic: list[bool], groups: list[int], *, least_llr: float = 12.0, least_share: float = 0.8) -> set[int]:
-    """Features found almost only in toxic documents, beyond chance."""
-    seen = {}
-    counts = (Counter(), Counter())
-    totals = [0, 0]
-    merged: dict[tuple[int, bool], set[int]] = {}
-    for words, bad, g in zip(docs, toxic, groups):
-        if (g, bad) not in merged:
-            merged[g, bad] = set()
-            totals[bad] += 1
-        for w in words:
-            merged[g, bad] |= seen.setdefault(w, pieces(w))
-    for (_, bad), found in merged.items():
-        counts[bad].update(found)
+def _toxic_features(docs: list[set[str]], toxic: list[bool], groups: list[int], *, least_llr: float = 12.0, least_share: float = 0.8) -> np.ndarray:
+    """A flag for each feature: found almost only in toxic documents, beyond chance."""
+    counts, totals = np.zeros((2, 1 << BITS)), [0, 0]
+    members = defaultdict(list)
+    for i, (bad, g) in enumerate(zip(toxic, groups)):
+        members[g, bad].append(i)
+    for (_, bad), rows in members.items():
+        words = set().union(*(docs[i] for i in rows))
+        if words:
+            counts[int(bad), np.unique(piece_table(list(words))[0])] += 1
+        totals[bad] += 1
     base = totals[1] / max(1, sum(totals))
-    out = set()
-    for f, n1 in counts[1].items():
-        n0 = counts[0][f]
-        n = n1 + n0
-        if n1 < least_share * n or n1 < 3:
-            continue
-        llr = n1 * math.log(n1 / (n * base)) + (n0 * math.log(n0 / (n * (1 - base))) if n0 else 0.0)
-        if llr >= least_llr:
-            out.add(f)
-    return out
+    n0, n1 = counts
+    n = n0 + n1
+    with np.errstate(divide="ignore", invalid="ignore"):
+        llr = n1 * np.log(n1 / (n * base)) + np.where(n0 > 0, n0 * np.log(n0 / (n * (1 - base))), 0.0)
+    return (n1 >= 3) & (n1 >= least_share * n) & (np.nan_to_num(llr, nan=0.0) >= least_llr)
 
 
 def _fit_chain(words: list[str], windows: np.ndarray, labels: np.ndarray, *, rounds: int = 80, rate: float = 0.15, decay: float = 1e-5) -> tuple[np.ndarray, float, np.ndarray]:
     """Maximum likelihood of the labelled windows (rows of word numbers, -1 for padding) by gradient
     ascent with adaptive steps; returns feature weights, bias and transitions."""
-    lists = [list(pieces(w)) for w in words]
-    flat, ends = np.concatenate(lists), np.cumsum([0] + [len(x) for x in lists])[:-1]
-    owner = np.repeat(np.arange(len(words)), [len(x) for x in lists])
+    flat, ends = piece_table(words)
+    owner = np.repeat(np.arange(len(words)), np.diff(np.append(ends, len(flat))))
     weights, bias, chain = np.zeros(1 << BITS), -2.0, np.log(np.array([[0.9, 0.1], [0.5, 0.5]]))
     n, width = windows.shape
     real = windows >= 0
@@ -196,7 +259,10 @@ def train(texts: list[str], toxic: list[bool], *, toxic_weight: float = 1.0, see
     tokens = [TOKEN.findall(t) for t in texts]
     groups = _near_copies(texts)
     bad = _toxic_features([{w.lower() for w in ws} for ws in tokens], toxic, groups)
-    number, hit = {}, {}
+    known = sorted({w.lower() for ws in tokens for w in ws})
+    features, begin = piece_table(known) if known else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    hit = dict(zip(known, np.logical_or.reduceat(bad[features], begin).tolist())) if known else {}
+    number: dict[str, int] = {}
     rng = np.random.default_rng(seed)
     windows, labels = [], []
     first = set()
@@ -204,12 +270,7 @@ def train(texts: list[str], toxic: list[bool], *, toxic_weight: float = 1.0, see
         if (groups[i], is_toxic) in first:
             continue
         first.add((groups[i], is_toxic))
-        marks = []
-        for w in ws:
-            w = w.lower()
-            if w not in hit:
-                hit[w] = not bad.isdisjoint(pieces(w))
-            marks.append(is_toxic and hit[w])
+        marks = [is_toxic and hit[w.lower()] for w in ws]
         centres = [j for j, m in enumerate(marks) if m][:20] + (rng.integers(0, len(ws), negatives_per_doc).tolist() if ws else [])
         for c in centres:
             span = range(c - PAD, c + PAD + 1)
@@ -220,13 +281,8 @@ def train(texts: list[str], toxic: list[bool], *, toxic_weight: float = 1.0, see
         number = number or {"": 0}
     weights, bias, chain = _fit_chain(list(number), np.array(windows), np.array(labels))
     model = Model(weights.astype(np.float32), bias, chain, np.zeros(3))
-    memo: dict[str, float] = {}
-    found = []
-    for ws in tokens:
-        for w in ws:
-            if w not in memo:
-                memo[w] = model.evidence(w)
-        found.append(np.array([memo[w] for w in ws]))
+    memo = dict(zip(known, model.evidence(known).tolist()))
+    found = [np.array([memo[w.lower()] for w in ws]) for ws in tokens]
     x = np.array([document_features(m) for m in marginals(chain, found)])
     y = np.array(toxic, float)
     model.score = _fit_score(x, y, np.where(y > 0, toxic_weight, 1.0))
@@ -234,15 +290,17 @@ def train(texts: list[str], toxic: list[bool], *, toxic_weight: float = 1.0, see
 
 
 class _Memo(dict):
-    def __init__(self, model: Model, most: int = 200_000):
-        super().__init__()
-        self.model, self.most = model, most
+    """Evidence of the words met last, computed for many new words at a time."""
 
-    def __missing__(self, word: str) -> float:
-        if len(self) >= self.most:
+    def of(self, model: Model, texts: list[list[str]], most: int = 300_000) -> list[np.ndarray]:
+        new = list({w for ws in texts for w in ws if w not in self})
+        if len(self) + len(new) > most:
             self.clear()
-        self[word] = value = self.model.evidence(word)
-        return value
+            new = list({w for ws in texts for w in ws})
+        for at in range(0, len(new), 50_000):
+            part = new[at : at + 50_000]
+            self.update(zip(part, model.evidence(part).tolist()))
+        return [np.fromiter(map(self.__getitem__, ws), np.float32, len(ws)) for ws in texts]
 
 
 def scorer(model):
@@ -256,11 +314,11 @@ def scorer(model):
         if m is None:
             return pa.array([{"score": 0.5, "n_toxic": 0, "spans": []}] * len(texts), kind)
         if not hasattr(m, "memo"):
-            m.memo = _Memo(m)
+            m.memo = _Memo()
         memo, out = m.memo, []
-        for at in range(0, len(texts), 2000):
-            block = [t.as_py() or "" for t in texts[at : at + 2000]]
-            evidence = [np.array([memo[w] for w in TOKEN.findall(t)], np.float32) for t in block]
+        for at in range(0, len(texts), 1000):
+            block = [t.as_py() or "" for t in texts[at : at + 1000]]
+            evidence = memo.of(m, [TOKEN.findall(t) for t in block])
             for text, odds in zip(block, marginals(m.chain, evidence)):
                 score = 1 / (1 + math.exp(-max(-40.0, min(40.0, float(np.dot(document_features(odds), m.score))))))
                 hits = set(np.flatnonzero(odds > 0).tolist())
