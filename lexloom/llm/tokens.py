@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str):
@@ -67,7 +69,7 @@ def length_histogram(docs: DataFrame, text_col: str = "text", *, path: str) -> D
     return docs.select(n_tokens(F.col(text_col), path).alias("length")).groupBy("length").agg(F.count("*").alias("n_docs"))
 
 
-def context_table(histogram: DataFrame, *, block: int = 1024) -> DataFrame:
+def context_table(histogram: DataFrame, *, block: int = 64) -> DataFrame:
     """What a context limit of each occurring length keeps, from suffix sums of the histogram.
 
     Columns: context_limit, n_docs (of exactly that length), docs_at_least, tokens_at_least,
@@ -76,7 +78,7 @@ def context_table(histogram: DataFrame, *, block: int = 1024) -> DataFrame:
     so ``at_limit`` answers any other limit. Sums run within blocks of lengths and over a table of
     blocks. An empty histogram gives an empty table.
     """
-    h = histogram.withColumn("ll_block", F.floor(F.col("length") / block)).withColumn("ll_tokens", F.col("length") * F.col("n_docs"))
+    h = cut(histogram, "lengths").withColumn("ll_block", F.floor(F.col("length") / block)).withColumn("ll_tokens", F.col("length") * F.col("n_docs"))
     blocks = h.groupBy("ll_block").agg(F.sum("n_docs").alias("d"), F.sum("ll_tokens").alias("t"))
     after = Window.orderBy(F.desc("ll_block")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(0))
