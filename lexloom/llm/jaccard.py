@@ -14,8 +14,8 @@ c(n, m) elements:
 Signatures and prefix elements make inverted lists of classes. Within a list, two classes are
 compared only if their sizes allow it and if their parity sketches differ in no more bits than similar
 sets can (each element in one set only flips one bit, so this never drops a link). First every class
-meets the head of its lists; what is similar to one head needs no further comparison with one another.
-What is left is compared in pairs, by exact intersection. Components of the links are then found.
+meets the heads of its lists; what those links connect needs no further comparison. What is left is
+compared in pairs. Links are decided by exact intersection, and their components are the result.
 
 Defined results: a null or empty text has an empty set and is its own component; a text with fewer
 words than n is one n-gram; rows with a null id are not linked and have a null component; rows that
@@ -32,7 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -41,7 +41,7 @@ from .components import components
 _U = np.uint64
 _MULT = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 SKETCH = 256
-SLOTS = 1 << 20
+SLOTS = 1 << 24
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -52,33 +52,76 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-class _Words(dict):
-    """Hash of each word, kept for the words that come again."""
+_BASE = 0x9E3779B97F4A7C55
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BLOCK = 1 << 20
+_SPACE = np.array([x == 32 or 9 <= x <= 13 for x in range(256)])
+_LOWER = np.array([x + 1 + 32 * (65 <= x <= 90) for x in range(256)], _U)
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) >= 300_000:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _Words()
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return tuple(np.concatenate([np.ones(1, _U), np.cumprod(np.full(n - 1, x, _U))]) for x in (_BASE, _INVERSE))
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of each word of ``data``, A-Z lower-cased: a polynomial in its bytes from prefix
+    sums, mixed. Runs over blocks that end at white space, so memory follows the block, not the text."""
+    hashes, starts, at = [], [], 0
+    while at < len(data):
+        end = at + _BLOCK
+        while end < len(data) and not data[end - 1 : end].isspace():
+            end += 1
+        b = np.frombuffer(data, np.uint8, min(end, len(data)) - at, at)
+        space = _SPACE[b]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
+        first, last = edge[::2], edge[1::2]
+        up, down = _powers(1 << max(21, int(len(b)).bit_length()))
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, _U), np.cumsum(_LOWER[b] * up[: len(b)], dtype=_U)])
+            hashes.append(mix64((sums[last] - sums[first]) * down[first] + _MULT[4]))
+        starts.append(first + at)
+        at = min(end, len(data))
+    return (np.concatenate(hashes), np.concatenate(starts)) if hashes else (np.zeros(0, _U), np.zeros(0, np.int64))
+
+
+def _grams(h: np.ndarray, k: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        total = np.full(max(0, len(h) - k + 1), k, _U)
+        for i in range(k):
+            total = total * _MULT[i % 5] + h[i : len(h) - k + 1 + i]
+    return mix64(total)
+
+
+def shingles_of(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its n-grams of words, many texts at a time."""
+    block, size = [], 0
+    for text in texts:
+        block.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
+        size += len(block[-1])
+        if size >= _BLOCK:
+            yield from _block_shingles(block, n)
+            block, size = [], 0
+    yield from _block_shingles(block, n)
+
+
+def _block_shingles(block: list[bytes], n: int) -> Iterator[np.ndarray]:
+    hashes, starts = _word_hashes(b" ".join(block))
+    begins = np.cumsum([0] + [len(x) + 1 for x in block])
+    words = np.searchsorted(starts, begins)  # of each text in hashes
+    grams = _grams(hashes, n)
+    for a, b in zip(words[:-1].tolist(), words[1:].tolist()):
+        if b - a >= n:
+            x = np.sort(grams[a : b - n + 1])
+            yield x[np.concatenate([[True], x[1:] != x[:-1]])]
+        else:
+            yield _grams(hashes[a:b], b - a) if b > a else np.zeros(0, _U)
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of the n-grams of words of a text, A-Z lower-cased."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, _U)
-    h = np.fromiter((_words[w] for w in words), _U, len(words))
-    k = min(n, len(words))
-    with np.errstate(over="ignore"):
-        total = np.full(len(h) - k + 1, k, _U)
-        for i in range(k):
-            total = total * _MULT[i % 5] + h[i : len(h) - k + 1 + i]
-    return np.unique(mix64(total))
+    return next(shingles_of(pa.array([text], pa.string()), n))
 
 
 def least_overlap(n: int, m: int, percent: int) -> int:
@@ -133,20 +176,32 @@ def class_of(x: np.ndarray) -> np.uint64:
         return mix64(x.sum(dtype=_U, keepdims=True) * _MULT[0] + _U(len(x)))[0]
 
 
+def sketch_bits(n: int) -> int:
+    """Width of the parity sketch of a set: a power of two, about a bit an element."""
+    return max(SKETCH, 1 << (n - 1).bit_length()) if n else SKETCH
+
+
+def parity(x: np.ndarray, bits: int) -> np.ndarray:
+    """For each of ``bits`` buckets whether it holds an odd number of elements, as 64-bit words."""
+    odd = np.bincount((x & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _describe(n_gram: int):
-    names = ["ll_id", "n", "cls", "s0", "s1", "s2", "s3"]
+    names = ["ll_id", "n", "cls", "s0", "s1", "s2", "s3", "wide"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes, sketches = [], [], []
-            for text in batch.column(1):
-                x = shingles(text.as_py(), n_gram)
+            sizes, classes, sketches, wide = [], [], [], []
+            for x in shingles_of(batch.column(1), n_gram):
                 sizes.append(len(x))
                 classes.append(class_of(x))
-                odd = np.bincount((x & _U(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
-                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                wide.append(parity(x, sketch_bits(len(x))))
+                sketches.append(np.bitwise_xor.reduce(wide[-1].reshape(-1, SKETCH // 64), axis=0))
             s = np.array(sketches, np.int64).reshape(-1, 4)
-            cols = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(_signed(np.array(classes, _U))), *[pa.array(np.ascontiguousarray(s[:, k])) for k in range(4)]]
+            ends = np.cumsum([0] + [len(x) for x in wide], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(wide or [np.zeros(0, np.int64)])))
+            cols = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(_signed(np.array(classes, _U))), *[pa.array(np.ascontiguousarray(s[:, k])) for k in range(4)], lists]
             yield pa.RecordBatch.from_arrays(cols, names)
 
     return run
@@ -156,8 +211,7 @@ def _low_elements(n_gram: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limit = _U(int(share * 2**64))
         for batch in batches:
-            texts = {t.as_py() for t in batch.column(0)}
-            parts = [x[: np.searchsorted(x, limit)] for t in texts for x in [shingles(t, n_gram)]]
+            parts = [x[: np.searchsorted(x, limit)].copy() for x in shingles_of(batch.column(0).unique(), n_gram)]
             yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(parts or [np.zeros(0, _U)])))], ["token"])
 
     return run
@@ -168,8 +222,7 @@ def _postings(n_gram: int, percent: int, boundary: int, frequent):
         tokens, counts = frequent.value  # sorted
         for batch in batches:
             out, owners, seen = [], [], set()
-            for text in batch.column(0):
-                x = shingles(text.as_py(), n_gram)
+            for x in shingles_of(batch.column(0).unique(), n_gram):
                 n, cls = len(x), class_of(x).view(np.int64)
                 if not n or cls in seen:
                     continue
@@ -181,7 +234,7 @@ def _postings(n_gram: int, percent: int, boundary: int, frequent):
                     p = prefix_length(n, percent)
                     at = np.minimum(np.searchsorted(tokens, x), max(0, len(tokens) - 1))
                     often = tokens[at] == x if len(tokens) else np.zeros(n, bool)
-                    first = x[~often][:p]
+                    first = x[~often][:p].copy()
                     if len(first) < p:
                         rest = x[often]
                         first = np.concatenate([first, rest[np.lexsort((rest, counts[at[often]]))][: p - len(first)]])
@@ -192,16 +245,18 @@ def _postings(n_gram: int, percent: int, boundary: int, frequent):
     return run
 
 
-def _sets(n_gram: int):
+def _sets(n_gram: int, wanted):
+    """(cls, elements) of the texts whose slot is in the bitmap ``wanted``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = [shingles(t.as_py(), n_gram) for t in part.column(1)]
-                sets, classes = [_signed(x) for x in found], [class_of(x) for x in found]
-                ends = np.cumsum([0] + [len(x) for x in sets], dtype=np.int32)
-                values = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_signed(np.array(classes, _U))), pa.ListArray.from_arrays(pa.array(ends), values)], ["ll_id", "cls", "elements"])
+            slots = batch.column(1).to_numpy()
+            part = batch.column(0).filter(pa.array((wanted.value[slots >> 6] >> (slots & 63)) & 1 == 1))
+            for at in range(0, len(part), 500):
+                found = list(shingles_of(part.slice(at, 500), n_gram))
+                ends = np.cumsum([0] + [len(x) for x in found], dtype=np.int32)
+                values = pa.array(_signed(np.concatenate(found or [np.zeros(0, _U)])))
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.array([class_of(x) for x in found], _U))), pa.ListArray.from_arrays(pa.array(ends), values)], ["cls", "elements"])
 
     return run
 
@@ -216,7 +271,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark, frequent_share = docs.sparkSession, min(1.0, 0.02 + 1.7 * (1 - percent / 100))
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("ll_id"), F.col(text_col).alias("ll_text"))
-    described = cut(slim.mapInArrow(_describe(n_gram), f"ll_id {kind}, n int, cls long, s0 long, s1 long, s2 long, s3 long"), "shingle-sets")
+    described = cut(slim.mapInArrow(_describe(n_gram), f"ll_id {kind}, n int, cls long, s0 long, s1 long, s2 long, s3 long, wide array<long>"), "shingle-sets")
     classes = cut(described.where("n > 0").groupBy("cls").agg(F.min("ll_id").alias("rep"), *[F.max(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3")]).where("rep is not null"), "shingle-classes")
 
     total = classes.agg(F.sum("n")).first()[0] or 0
@@ -233,10 +288,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     made = slim.where(F.col("ll_id").isNotNull()).select("ll_text").mapInArrow(_postings(n_gram, percent, boundary, frequent), "token long, cls long")
     by_token = Window.partitionBy("token")
-    lists = made.repartition(F.col("token")).distinct().withColumn("head", F.min("cls").over(by_token)).withColumn("last", F.max("cls").over(by_token))
-    lists = cut(lists.where("head < last").select("token", "cls", "head"), "shingle-lists")
+    # each list has a head of its own, so a class meets as many heads as it has lists
+    lists = made.repartition(F.col("token")).distinct().withColumn("least", F.min("cls").over(by_token)).withColumn("most", F.max("cls").over(by_token))
+    lists = lists.withColumn("head", F.min_by("cls", F.xxhash64("token", "cls")).over(by_token))
+    lists = cut(lists.where("least < most").select("token", "cls", "head"), "shingle-lists")
 
-    links = _links(classes, lists, slim, n_gram, percent)
+    wide = described.where("n > 0").select("cls", "wide")
+    links = _links(classes, wide, lists, slim, n_gram, percent)
     found = components(links).select(F.col("node").alias("rep"), "component")
     of_class = classes.select("cls", "rep").join(found, "rep", "left").select("cls", F.coalesce("component", "rep").alias("component"))
     out = described.join(cut(of_class, "class-components"), "cls", "left")
@@ -248,47 +306,63 @@ def _similar_sizes(percent: int):
     """Whether two classes a and b may be similar by their sizes and sketches."""
     na, nb = F.col("a.n"), F.col("b.n")
     apart = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(4)), F.lit(0))
-    most = na + nb - 2 * F.ceil(percent * (na + nb) / F.lit(100.0 + percent) - 1e-9)
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (apart <= most)
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (apart <= _most_apart(na, nb, percent))
+
 
+def _most_apart(n: Column, m: Column, percent: int) -> Column:
+    """In how many elements similar sets of these sizes can differ."""
+    return n + m - 2 * F.ceil(percent * (n + m) / F.lit(100.0 + percent) - 1e-9)
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar, as (a, b) of their smallest ids."""
-    a = sets.select(F.col("cls").alias("a"), F.col("elements").alias("ea"), F.col("rep").alias("ra"))
-    b = sets.select(F.col("cls").alias("b"), F.col("elements").alias("eb"), F.col("rep").alias("rb"))
-    shared = F.size(F.array_intersect("ea", "eb"))
-    united = F.size("ea") + F.size("eb") - shared
-    return pairs.join(a, "a").join(b, "b").where(100 * shared >= percent * united).select("a", "b", "ra", "rb")
 
+def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar. Their sketches of about a bit an element, which
+    fold to the narrower of two, come first; the sets of what is left are intersected."""
+    of = lambda df, side, **names: df.select(F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{new}") for new, c in names.items()])
+    known = pairs.join(of(sketches, "a", n="n", w="wide"), "a").join(of(sketches, "b", n="n", w="wide"), "b")
+    half = lambda w, k: F.slice(w, (F.size(w) / 2).cast("int") * k + 1, (F.size(w) / 2).cast("int"))
+    fold = lambda w, other: F.when(F.size(w) > F.size(other), F.zip_with(half(w, 0), half(w, 1), lambda x, y: x.bitwiseXOR(y))).otherwise(w)
+    a, b = F.col("a_w"), F.col("b_w")
+    apart = F.aggregate(F.zip_with(fold(a, b), fold(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    close = known.where(apart <= _most_apart(F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
+    shared = F.size(F.array_intersect("a_e", "b_e"))
+    united = F.size("a_e") + F.size("b_e") - shared
+    return close.join(of(sets, "a", e="elements"), "a").join(of(sets, "b", e="elements"), "b").where(100 * shared >= percent * united).select("a", "b")
 
-def _links(classes: DataFrame, lists: DataFrame, slim: DataFrame, n_gram: int, percent: int) -> DataFrame:
+
+def _links(classes: DataFrame, wide: DataFrame, lists: DataFrame, slim: DataFrame, n_gram: int, percent: int) -> DataFrame:
     """Links (a, b) between smallest ids of classes, enough to connect all that are connected."""
+    spark = slim.sparkSession
     sketch = ["cls", "n", "s0", "s1", "s2", "s3"]
     entries = cut(lists.join(classes.select(*sketch), "cls"), "list-entries")
     similar = _similar_sizes(percent)
     other = (F.col("a.token") == F.col("b.token")) & (F.col("a.cls") != F.col("b.cls"))
 
-    # classes that have any partner to be compared with, and their sets
+    # classes that have any partner to be compared with, their wide sketches, and their sets; which
+    # texts to read for the sets is told by a bitmap of fixed size
     involved = entries.alias("a").join(entries.alias("b"), other & similar, "left_semi").select("cls").distinct()
-    involved = cut(involved.join(classes.select("cls", "rep"), "cls"), "involved")
+    involved = cut(involved.join(classes.select("cls", "rep", "n"), "cls"), "involved")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    slots = involved.select(slot("rep").alias("slot")).distinct()  # at most SLOTS rows
-    texts = slim.withColumn("slot", slot("ll_id")).join(F.broadcast(slots), "slot", "left_semi").select("ll_id", "ll_text")
-    kind = slim.schema["ll_id"].dataType.simpleString()
-    made = texts.mapInArrow(_sets(n_gram), f"ll_id {kind}, cls long, elements array<long>")
-    sets = cut(made.withColumnRenamed("ll_id", "rep").join(involved, ["rep", "cls"]).dropDuplicates(["cls"]), "sets")
+    words = involved.select(slot("rep").alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+    bitmap = np.zeros(SLOTS >> 6, np.int64)
+    for r in words.collect():  # at most SLOTS / 64 rows
+        bitmap[r["w"]] = r["bits"]
+    texts = slim.where(F.col("ll_id").isNotNull()).select("ll_text", slot("ll_id").alias("slot"))
+    sets = cut(texts.mapInArrow(_sets(n_gram, spark.sparkContext.broadcast(bitmap)), "cls long, elements array<long>"), "sets")
+    sketches = wide.join(involved.select("cls", "n", "rep"), "cls").groupBy("cls").agg(F.max("n").alias("n"), F.max_by("wide", "n").alias("wide"))
+    sketches = cut(sketches, "wide-sketches")
 
     # every class against the heads of its lists
-    heads = entries.where("cls <> head").select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
-    facts = classes.select(*sketch)
-    heads = heads.join(facts.select(F.struct(*sketch).alias("a_")).withColumn("a", F.col("a_.cls")), "a").join(facts.select(F.struct(*sketch).alias("b_")).withColumn("b", F.col("b_.cls")), "b")
-    heads = heads.select(F.col("a_").alias("a"), F.col("b_").alias("b")).where(similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"))
-    stars = cut(_verified(heads, sets, percent), "star-links")
-
-    # what is similar to one head is connected; the rest is compared in pairs
-    near = stars.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("hub"))
+    heads = entries.where("cls <> head").select("token", F.struct(*sketch).alias("a"), F.col("head"))
+    tops = entries.where("cls = head").select("token", F.struct(*sketch).alias("b"))
+    heads = heads.join(tops, "token").where(similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
+    stars = cut(_verified(heads, sketches, sets, percent).distinct(), "star-links")
+
+    # what the heads connect is not compared again; the rest is compared in pairs
+    near = components(stars).withColumnsRenamed({"node": "cls", "component": "hub"})
     grouped = cut(entries.join(near, "cls", "left").withColumn("hub", F.coalesce("hub", "cls")), "grouped-entries")
     order = (F.col("a.token") == F.col("b.token")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.hub") != F.col("b.hub"))
     pairs = grouped.alias("a").join(grouped.alias("b"), order & similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
-    rest = _verified(pairs, sets, percent)
-    return stars.unionByName(rest).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    found = stars.unionByName(_verified(pairs, sketches, sets, percent)).distinct()
+    ids = involved.select("cls", "rep")
+    found = found.join(ids.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), "a").join(ids.select(F.col("cls").alias("b"), F.col("rep").alias("rb")), "b")
+    return found.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
