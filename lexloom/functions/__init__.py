@@ -1 +1 @@
-"""Functions of the lexical engine."""
+"""Column functions: text normalisation, tokens, predicates, report values."""

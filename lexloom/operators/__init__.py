@@ -1 +1 @@
-"""Operators of the lexical engine."""
+"""Operators on DataFrames: tokens, affix expansion, filtering, word forms, assembly, reports."""

@@ -1 +1 @@
-"""Sources of the lexical engine."""
+"""Readers and writers of glossaries, corpora, dictionaries, audits and reports."""
