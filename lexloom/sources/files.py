@@ -26,8 +26,10 @@ def _fs(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    if not path:
+        return False
     fs, where = _fs(spark, path)
-    return bool(path) and fs.exists(where)
+    return bool(fs.exists(where))
 
 
 def names_in(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:

@@ -167,7 +167,7 @@ def test_names(spark):
     assert files.parse_pair("es_GAME", langs, games) == ("es", "GAME") and files.parse_pair("BIG_GAME_fr.dic", langs, games) == ("fr", "BIG_GAME")
     assert files.parse_pair("es-ES_big_game", langs, games) == ("es", "BIG_GAME") and files.parse_pair("nope", langs, games) is None and files.parse_pair("de_GAME", langs, games) is None
     found = files.find_dictionary(spark, "es-ES", {"es": "/nowhere/es.dic"}, folder="/also/nowhere")
-    assert not found["ok"] and len(found["checks"]) == 5
+    assert not found["ok"] and len(found["checks"]) == 4
     assert pipeline.tokenizer_mode("pt-BR") == "portuguese" and pipeline.tokenizer_mode("xx") == "default"
 
 
