@@ -62,7 +62,7 @@ def _reassemble(min_chars: int):
             out.append("\n".join(kept)), lines.append(len(parts)), dropped.append(len(parts) - len(kept))
         return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], ["text", "n_lines", "n_dropped"])
 
-    return run
+    return run.asNondeterministic()  # not evaluated again for a filter on its result
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = 20, min_docs: int = 3) -> DataFrame:

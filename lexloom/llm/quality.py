@@ -93,7 +93,8 @@ def _signals(text: Column) -> Column:
         cols = [pa.array([r[c] for r in rows], pa.int64()) for c in SIGNALS]
         return pa.StructArray.from_arrays([*cols, pa.array([pattern_of(votes_of(r)) for r in rows], pa.int32())], [*SIGNALS, "pattern"])
 
-    return run(text)
+    # evaluated once: a filter on the result would otherwise be pushed below and score every text again
+    return run.asNondeterministic()(text)
 
 
 def fit(counts: dict[int, int], *, rounds: int = 200, prior: tuple[float, float] = (9.0, 1.0), tol: float = 1e-9) -> tuple[dict[int, float], np.ndarray, float]:
