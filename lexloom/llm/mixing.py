@@ -82,12 +82,12 @@ def source_targets(slim: DataFrame, *, weights=(3, 1, 2), share: float = 1.5, ma
     return t.select("ll_source", "n_docs", "source_size", (F.col("rank") % len(SCHEDULES)).alias("slot"), target.alias("target"))
 
 
-def plan_mix(slim: DataFrame, *, seed: str = "mix", weights=(3, 1, 2), share: float = 1.5, max_repeats: int = 2) -> DataFrame:
+def plan_mix(slim: DataFrame, *, keep: tuple[str, ...] = (), seed: str = "mix", weights=(3, 1, 2), share: float = 1.5, max_repeats: int = 2) -> DataFrame:
     """From (ll_id, ll_source, size) rows: those with source_size, target, ``start`` (tokens before the
     document in its source's stream), ``parts`` (an array of (epoch, taken, position) for what the mix
     reads of it) and ``taken``, their sum.
 
-    An epoch is one pass over the source's stream; the pass in which the target is reached is cut
+    ``keep`` names further columns that come along and break ties. An epoch is one pass over the source's stream; the pass in which the target is reached is cut
     inside a document, so each source's total is its target rounded to a whole token.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("ll_id").cast("string"), F.lit(""))))
@@ -102,7 +102,7 @@ def plan_mix(slim: DataFrame, *, seed: str = "mix", weights=(3, 1, 2), share: fl
     sums = rows.groupBy("ll_skey", "ll_bucket").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("ll_skey").orderBy("ll_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("ll_skey", "ll_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ll_offset"))
-    within = Window.partitionBy("ll_skey", "ll_bucket").orderBy("ll_hash", "ll_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("ll_skey", "ll_bucket").orderBy("ll_hash", "ll_id", "size", *keep).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("ll_inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = rows.join(offsets, ["ll_skey", "ll_bucket"]).withColumn("start", F.col("ll_inside") + F.col("ll_offset"))
     goal, parts = F.floor(F.col("target") + 0.5).cast("long"), []
@@ -112,7 +112,7 @@ def plan_mix(slim: DataFrame, *, seed: str = "mix", weights=(3, 1, 2), share: fl
         parts.append(F.struct(F.lit(epoch).alias("epoch"), got.alias("taken"), invert(begin / F.greatest(F.col("target"), F.lit(1.0)), F.col("slot")).alias("position")))
     rows = rows.withColumn("parts", F.filter(F.array(*parts), lambda p: p["taken"] > 0))
     taken = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["taken"])
-    return rows.select("ll_id", "ll_source", "size", "source_size", "target", "start", "parts", taken.alias("taken"))
+    return rows.select("ll_id", *keep, "ll_source", "size", "source_size", "target", "start", "parts", taken.alias("taken"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -127,15 +127,16 @@ def training_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` as the mix reads them, in training order: a document once an epoch that
     reads it, its text cut after the words taken; a struct column ``mix`` has epoch, taken and position.
 
-    Rows that share an id and a size meet in the order of their text's hash and their place in the stream.
+    Texts meet their part of the plan by id, size and a hash, in one shuffle; of rows equal in all three
+    each takes one part. A second shuffle sorts them.
     """
-    copy = lambda key, size, order: F.row_number().over(Window.partitionBy(key, size).orderBy(order))
-    sized = docs.withColumn("ll_key", F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).withColumn("ll_size", words_in(F.col(text_col)))
-    slim = sized.select(F.col("ll_key").alias("ll_id"), F.col(source_col).cast("string").alias("ll_source"), F.col("ll_size").alias("size"))
-    plan = plan_mix(slim, **options).withColumn("ll_copy", copy("ll_id", "size", "start")).where("taken > 0")
-    plan = plan.select(F.col("ll_id").alias("ll_key"), F.col("size").alias("ll_size"), "ll_copy", "parts")
-    rows = sized.withColumn("ll_copy", copy("ll_key", "ll_size", F.xxhash64(text_col)))
-    rows = rows.join(plan, ["ll_key", "ll_size", "ll_copy"]).withColumn("mix", F.explode("parts"))
+    on = ["ll_key", "ll_size", "ll_text"]
+    keyed = docs.withColumn("ll_key", F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).withColumn("ll_size", words_in(F.col(text_col))).withColumn("ll_text", F.xxhash64(text_col))
+    slim = keyed.select(F.col("ll_key").alias("ll_id"), F.col(source_col).cast("string").alias("ll_source"), F.col("ll_size").alias("size"), "ll_text")
+    plan = plan_mix(slim, keep=("ll_text",), **options).select(F.col("ll_id").alias("ll_key"), F.col("size").alias("ll_size"), "ll_text", "start", "parts")
+    plan = plan.groupBy(*on).agg(F.array_sort(F.collect_list(F.struct("start", "parts"))).alias("ll_copies")).where(F.exists("ll_copies", lambda c: F.size(c["parts"]) > 0))
+    rows = keyed.join(plan, on).withColumn("ll_nth", F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(0))))
+    rows = rows.withColumn("mix", F.explode(F.get("ll_copies", F.col("ll_nth") - 1)["parts"]))
     # a word with the white space around it, so that a whole text comes back as it was
     pieces = F.split(F.col(text_col), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     first_is_space = F.when(F.col(text_col).rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
