@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import tempfile
 import uuid
@@ -43,6 +44,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return a Python worker's unused memory to the system: workers stay, and share the executor's limit."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def group_target(rows: int, least: int = 256, groups: int = 4096) -> int:
     """Rows that one salted group may hold: a fixed share of the table, so that the number of
     groups stays bounded while no task gets more than about 1/``groups`` of the rows."""

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, give_back
 from .components import components
 
 _U = np.uint64
@@ -54,7 +54,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _SPACE = np.array([x == 32 or 9 <= x <= 13 for x in range(256)])
 _LOWER = np.array([x + 1 + 32 * (65 <= x <= 90) for x in range(256)], _U)
 
@@ -77,7 +77,7 @@ def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         space = _SPACE[b]
         edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
         first, last = edge[::2], edge[1::2]
-        up, down = _powers(1 << max(21, int(len(b)).bit_length()))
+        up, down = _powers(1 << max(19, int(len(b)).bit_length()))
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, _U), np.cumsum(_LOWER[b] * up[: len(b)], dtype=_U)])
             hashes.append(mix64((sums[last] - sums[first]) * down[first] + _MULT[4]))
@@ -203,6 +203,7 @@ def _describe(n_gram: int):
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(wide or [np.zeros(0, np.int64)])))
             cols = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(_signed(np.array(classes, _U))), *[pa.array(np.ascontiguousarray(s[:, k])) for k in range(4)], lists]
             yield pa.RecordBatch.from_arrays(cols, names)
+            give_back()
 
     return run
 
@@ -213,6 +214,7 @@ def _low_elements(n_gram: int, share: float):
         for batch in batches:
             parts = [x[: np.searchsorted(x, limit)].copy() for x in shingles_of(batch.column(0).unique(), n_gram)]
             yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(parts or [np.zeros(0, _U)])))], ["token"])
+            give_back()
 
     return run
 
@@ -241,6 +243,7 @@ def _postings(n_gram: int, percent: int, boundary: int, frequent):
                     out.append(first), owners.append(np.full(len(first), cls, np.int64))
             empty = [np.zeros(0, np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(out)) if out else empty[0]), pa.array(np.concatenate(owners or empty))], ["token", "cls"])
+            give_back()
 
     return run
 
@@ -257,6 +260,7 @@ def _sets(n_gram: int, wanted):
                 ends = np.cumsum([0] + [len(x) for x in found], dtype=np.int32)
                 values = pa.array(_signed(np.concatenate(found or [np.zeros(0, _U)])))
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(np.array([class_of(x) for x in found], _U))), pa.ListArray.from_arrays(pa.array(ends), values)], ["cls", "elements"])
+            give_back()
 
     return run
 

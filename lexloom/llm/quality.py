@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, give_back
 
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_plain_words", "n_distinct")
 
@@ -91,6 +91,7 @@ def _signals(text: Column) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         rows = [signals_of(t.as_py()) for t in texts]
         cols = [pa.array([r[c] for r in rows], pa.int64()) for c in SIGNALS]
+        give_back()
         return pa.StructArray.from_arrays([*cols, pa.array([pattern_of(votes_of(r)) for r in rows], pa.int32())], [*SIGNALS, "pattern"])
 
     # evaluated once: a filter on the result would otherwise be pushed below and score every text again
