@@ -30,7 +30,7 @@ def test_signals_against_brute_force(text):
     assert (s["n_words"], s["word_chars"], s["n_symbols"], s["n_dup_lines"], s["n_repeat_words"]) == brute(text)
 
 
-GOOD = "The quiet river runs past seven old mills, and nobody knows which of them was first built. " + " ".join(f"Word{c}{d} stands alone here." for c in "abcdefghijkl" for d in "xyz")
+GOOD = "The quiet river runs past seven old mills, and nobody knows which of them was first built. " + " ".join(f"Word{c}{d} stands{d}{c} near {c}home{d}." for c in "abcdefghijkl" for d in "xyz")
 JUNK = " ".join(f"w{i}%%% x$$$ &&&" for i in range(60))
 LOOP = "again and again the same words " * 40
 
