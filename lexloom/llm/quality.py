@@ -98,12 +98,12 @@ def _signals(text: Column) -> Column:
     return run.asNondeterministic()(text)
 
 
-def fit(counts: dict[int, int], *, rounds: int = 200, prior: tuple[float, float] = (9.0, 1.0), tol: float = 1e-9) -> tuple[dict[int, float], np.ndarray, float]:
+def fit(counts: dict[int, int], *, rounds: int = 200, prior: tuple = ((3.0, 7.0), (49.0, 1.0)), tol: float = 1e-9) -> tuple[dict[int, float], np.ndarray, float]:
     """EM over vote patterns: the posterior of each pattern, the accuracies (class, rule) and the
     share of good documents.
 
     Given the class, a rule that votes is right with its accuracy for that class and rules are
-    independent; an abstention says nothing. A Beta ``prior`` on accuracies fixes which class is which.
+    independent; an abstention says nothing. A Beta ``prior`` for each class, bad and good, fixes which is which: a bad document fails few rules.
     """
     if not counts:
         return {}, np.full((2, len(RULES)), 0.9), 0.5
@@ -112,12 +112,12 @@ def fit(counts: dict[int, int], *, rounds: int = 200, prior: tuple[float, float]
     votes = np.stack([(patterns // 3**j) % 3 for j in range(len(RULES))], 1)
     right = np.stack([votes == BAD, votes == GOOD]).astype(float)  # for the bad class, for the good class
     voted = (votes != ABSTAIN).astype(float)
-    accuracy, good = np.full((2, len(RULES)), prior[0] / sum(prior)), 0.8
+    accuracy, good = np.array([[p[0] / sum(p)] * len(RULES) for p in prior]), 0.8
     for _ in range(rounds):
         logs = [np.log(p) + right[c] @ np.log(accuracy[c]) + (voted - right[c]) @ np.log(1 - accuracy[c]) for c, p in ((0, 1 - good), (1, good))]
         post = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
         mass = np.stack([1 - post, post]) * weight
-        new = np.stack([(prior[0] - 1 + mass[c] @ right[c]) / (sum(prior) - 2 + mass[c] @ voted) for c in (0, 1)])
+        new = np.stack([(prior[c][0] - 1 + mass[c] @ right[c]) / (sum(prior[c]) - 2 + mass[c] @ voted) for c in (0, 1)])
         new = np.clip(new, 1e-4, 1 - 1e-4)
         share = float(np.clip((mass[1].sum() + 1) / (weight.sum() + 2), 1e-4, 1 - 1e-4))
         moved = max(np.abs(new - accuracy).max(), abs(share - good))
@@ -148,7 +148,9 @@ def quality(docs: DataFrame, text_col: str = "text", *, threshold: float = 0.5,
     scored = docs.withColumn("ll_signals", _signals(F.col(text_col)))
     if materialise:
         scored = cut(scored.drop(text_col), "quality")
-    table = F.broadcast(posterior_table(scored, F.col("ll_signals.pattern")))
+    # documents that fail the base rules are decided, and would shape the bad class in their own image
+    open_ = scored.where(~base_failed(F.col("ll_signals")))
+    table = F.broadcast(posterior_table(open_, F.col("ll_signals.pattern")))
     out = scored.join(table, scored["ll_signals.pattern"] == table["ll_pattern"], "left")
     failed, post = base_failed(F.col("ll_signals")), F.coalesce("ll_posterior", F.lit(0.5))
     fields = [F.col(f"ll_signals.{c}").alias(c) for c in SIGNALS]
