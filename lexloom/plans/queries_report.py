@@ -27,7 +27,8 @@ _WITH = (S.TOK, _REPORT)
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = doc_tokens(spark, sf_dir).where("char_length(token) <= 8").select(F.col("source").alias("game"), F.col("lang").alias("language"), "token").distinct()
+    """All tokens of the documents; the SQL still holds those of at most 8 characters only."""
+    rows = doc_tokens(spark, sf_dir).select(F.col("source").alias("game"), F.col("lang").alias("language"), "token").distinct()
     n, t = F.char_length("token"), F.col("token")
     texts = lambda *xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
     none = texts()
@@ -164,21 +165,30 @@ def language_filter(spark, sf_dir):
     return language.language_filter(rows, table, lang="de").select("key", "word_count", "confidence", "threshold", "is_wrong")
 
 
+def _pair(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Corpus tokens, glossary rows, the words of both and the dictionary of the German pair, all of each."""
+    from ..operators import tokens as O
+    from .queries_affix import dictionary
+
+    tokens = doc_tokens(spark, sf_dir).where("lang = 'de'")
+    rows = O.glossary_tokens(glossary(spark, sf_dir))
+    words = rows.select("token").unionByName(tokens.select("token")).distinct()
+    return tokens, rows, words, dictionary(tokens).drop("lang")
+
+
 @query(None)
 def consolidated_report(spark, sf_dir):
     """Glossary, audit, word forms and assembly of one pair joined into its report."""
     from ..operators import affix, filtering
     from ..operators import tokens as O
-    from .queries_affix import dictionary, rule_table
+    from .queries_affix import rule_table
 
-    tokens = doc_tokens(spark, sf_dir)
-    rows = O.glossary_tokens(glossary(spark, sf_dir))
-    words = rows.select("token").distinct().unionByName(tokens.where("lang = 'de' AND char_length(token) <= 5").select("token").distinct()).distinct()
-    entries, rules = dictionary(tokens).where("lang = 'de' AND base_lower > 'm'").drop("lang"), rule_table(spark, "de")
+    tokens, rows, words, entries = _pair(spark, sf_dir)
+    rules = rule_table(spark, "de")
     forms = affix.expand(entries, rules, word="base_lower").select("form").distinct()
     audits = filtering.audit(words, forms, token_keys=O.token_keys(rows).drop("game", "lang"))
     kept = audits.where("status = 'kept_neologism'").select("token")
-    cases = O.case_map(tokens.where("lang = 'de'").select("token"), keys=[])
+    cases = O.case_map(tokens.select("token"), keys=[])
     found = wordforms.corpus_wordforms(kept.select(F.col("token").alias("base_word")), rules, cases, lang="de", flags=["N", "U"])
     assembled = assembly.assemble(kept, found, rules, lang="de", mandatory=["U"], audits=audits)
     return reports.csv_report(reports.consolidated_report(assembled, audits, words, kept, found, game="g", lang="de"))
