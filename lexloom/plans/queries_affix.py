@@ -1,6 +1,7 @@
 """Queries over affix expansion, dictionary filtering, word forms and assembly, each with DuckDB SQL.
 
-The dictionaries are made of the documents' own short words; rules are a small fixed table.
+The dictionaries are made of the documents' own short words; rules are a small fixed table. Compounds, flags,
+pruning and exports run over words of every length; their SQL still holds short words only.
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ def two_part_compounds(spark, sf_dir):
     tokens = doc_tokens(spark, sf_dir)
     entries = dictionary(tokens).where("lang = 'de'")
     forms = affix.expand(entries, rule_table(spark, "de"), word="base_lower")
-    words = tokens.where("lang = 'de' AND char_length(token) <= 16").select(F.lower("token").alias("token_lower")).distinct()
+    words = tokens.where("lang = 'de'").select(F.lower("token").alias("token_lower")).distinct()
     pairs = words.select("token_lower", F.explode(compound.two_part_split(F.col("token_lower"), 3)).alias("p")).select("token_lower", F.col("p.left").alias("head"), F.col("p.right").alias("tail"))
     ends = forms.select(F.col("form").alias("tail")).distinct()
     return pairs.join(ends, "tail", "left_semi").join(entries.select(F.col("base_lower").alias("head")).distinct(), "head", "left_semi").select("token_lower", "head", "tail")
@@ -137,7 +138,7 @@ def recursive_compounds(spark, sf_dir):
     entries = dictionary(tokens).where("lang = 'de'")
     forms = affix.expand(entries, rule_table(spark, "de"), word="base_lower").select("form").distinct()
     roles = entries.select(F.col("base_lower").alias("form"), F.lit("begin").alias("role")).unionByName(forms.select("form", F.lit("end").alias("role"))).distinct()
-    words = tokens.where("lang = 'de' AND char_length(token) <= 16").select(F.lower("token").alias("token_lower"))
+    words = tokens.select(F.lower("token").alias("token_lower"))
     return compound.compounds(words, roles, forms)
 
 
@@ -205,7 +206,7 @@ assigned AS MATERIALIZED (SELECT k.token, list_sort(list_distinct(list_concat(['
 
 def _flags(spark, sf_dir):
     tokens = doc_tokens(spark, sf_dir)
-    kept = tokens.where("lang = 'de' AND char_length(token) BETWEEN 3 AND 5").select("token").distinct()
+    kept = tokens.where("lang = 'de'").select("token").distinct()
     words, rules, cases = _german(spark, sf_dir)
     out = wordforms.corpus_wordforms(words, rules, cases, lang="de", flags=["N", "U"], quorum=0.5)
     return kept, assembly.assign_flags(kept, out, ["U"]), rules
@@ -232,7 +233,7 @@ made AS MATERIALIZED (SELECT f.token AS source, r.kind, CASE r.kind WHEN 'SFX' T
   select="SELECT m.form, array_to_string(list_sort(list(DISTINCT m.source)), ' | ') AS sources FROM made m JOIN assigned a ON a.token = m.form AND len(a.flags) = 0 WHERE m.form <> m.source GROUP BY 1"))
 def redundancy_prune(spark, sf_dir):
     tokens = doc_tokens(spark, sf_dir)
-    kept = tokens.where("lang = 'de' AND char_length(token) BETWEEN 3 AND 9").select("token").distinct()
+    kept = tokens.where("lang = 'de'").select("token").distinct()
     words, rules, cases = _german(spark, sf_dir)
     out = wordforms.corpus_wordforms(words, rules, cases, lang="de", flags=["N", "U"], quorum=0.5)
     assigned = assembly.assign_flags(kept, out, [])
@@ -272,7 +273,7 @@ _EXPORTS = "exports AS MATERIALIZED (SELECT DISTINCT lang, source AS game, token
 
 @query(S.statement(S.TOK, _EXPORTS, select="SELECT lang, word, array_to_string(list_sort(list(DISTINCT flag)), ',') AS flags, array_to_string(list_sort(list(DISTINCT game)), ' | ') AS sources FROM exports GROUP BY 1, 2"))
 def merged_exports(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir).where("char_length(token) <= 6")
+    tokens = doc_tokens(spark, sf_dir)
     rows = tokens.select("lang", F.col("source").alias("game"), F.col("token").alias("word"), F.array(F.substring(F.col("source"), F.lit(4), F.char_length("source"))).alias("flags")).distinct()
     merged = assembly.merge_exports(rows)
     return merged.select("lang", "word", F.array_join("flags", ",").alias("flags"), F.array_join("sources", " | ").alias("sources"))

@@ -8,7 +8,7 @@ from lexloom.plans import queries_report as R
 LONG = "Wasserkraftwerksgesellschaften"
 #: "aber" and "zug" are of five documents, so they are dictionary entries; the last document has one long compound of them
 TEXTS = ["aber zug Haus", "aber zug Nachbarschaft", "aber zug laufen", "aber zug neulich", "aber zug wieder"]
-DOCS = [(2 * i + 1, t, "de", f"src{i % 3}") for i, t in enumerate(TEXTS)] + [(20, LONG + " aberaberaberaberaberzug " + "abc" * 7 + "zug", "de", "src1"), (21, "Straße", "fr", "src2")]
+DOCS = [(2 * i + 1, t, "de", f"src{i % 3}") for i, t in enumerate(TEXTS)] + [(20, LONG + " aberaberaberaberzug " + "abc" * 7 + "zug", "de", "src1"), (21, "Straße", "fr", "src2")]
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +41,13 @@ def test_consolidated_report_reads_long_words_and_the_whole_dictionary(spark, ta
     _, _, words, entries = R._pair(spark, tables)
     assert {r["token"] for r in words.collect()} >= {w for _, la, w in pairs() if la == "de"} | {"tofu"}
     assert {r["base_lower"] for r in entries.collect()} == {"aber", "zug"}
+
+
+def test_compounds_flags_and_exports_of_any_length(spark, tables):
+    assert {r["token_lower"] for r in A.recursive_compounds(spark, tables).collect()} == {"aberaberaberaberzug"}
+    assert A.two_part_compounds(spark, tables).count() == 0
+    german = {w for _, la, w in pairs() if la == "de"}
+    assert {r["token"] for r in A.flag_assignment(spark, tables).collect()} == german
+    assert {r["flag"]: r["words"] for r in A.flag_usage(spark, tables).collect()}["U"] == len(german)
+    want = {(la, w): " | ".join(sorted({g for g, lb, x in pairs() if (lb, x) == (la, w)})) for _, la, w in pairs()}
+    assert {(r["lang"], r["word"]): r["sources"] for r in A.merged_exports(spark, tables).collect()} == want
