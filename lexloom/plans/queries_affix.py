@@ -14,7 +14,7 @@ from ..operators import affix, assembly, compound, filtering, wordforms
 from ..operators import tokens as O
 from . import sql as S
 from .common import add
-from .queries_text import doc_tokens
+from .queries_text import conversation_tokens, doc_tokens
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -248,10 +248,9 @@ _CASING = """base AS MATERIALIZED (SELECT DISTINCT lang, token FROM tok WHERE do
 @query(S.statement(S.TOK, _CASING, select="""SELECT b.token AS original, lower(b.token) AS inferred_lower, 'corpus_exact_lower' AS source FROM (SELECT token FROM base WHERE lang = 'de') b
   WHERE b.token[1] = upper(b.token[1]) AND b.token[1] <> lower(b.token[1]) AND b.token <> lower(b.token) AND lower(b.token) NOT IN (SELECT token FROM base WHERE lang = 'de') AND lower(b.token) IN (SELECT token FROM seen WHERE lang = 'de')"""))
 def casing_inference(spark, sf_dir):
-    # two halves of the documents stand for dictionary and corpus
-    tokens = doc_tokens(spark, sf_dir).where("lang = 'de'")
-    base = tokens.where("doc_id % 2 = 0").select("token").distinct()
-    seen = tokens.where("doc_id % 2 = 1 AND token = lower(token)").select(F.col("token").alias("form"))
+    # all German documents stand for the dictionary, all conversations for the corpus; the SQL still takes halves of the documents
+    base = doc_tokens(spark, sf_dir).where("lang = 'de'").select("token").distinct()
+    seen = conversation_tokens(spark, sf_dir).where("token = lower(token)").select(F.col("token").alias("form"))
     return assembly.infer_casing(base, seen)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import assembly, language, reports, wordforms
 from . import sql as S
 from .common import add, load
-from .queries_text import doc_tokens, glossary
+from .queries_text import conversation_tokens, doc_tokens, glossary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -117,9 +117,9 @@ diff AS (SELECT base_word, list_sort(list_filter(coalesce(a, []), lambda x: NOT
 
 
 def _diff(spark, sf_dir) -> DataFrame:
-    tokens = doc_tokens(spark, sf_dir).where("lang = 'es'").withColumn("base_word", F.substring("token", 1, 3))
-    of = lambda rest: tokens.where(F.col("doc_id") % 3 != rest).groupBy("base_word").agg(F.collect_set("token").alias("found_forms"))
-    return wordforms.diff_wordforms(of(0), of(1))
+    # all documents are the old run, all conversations the new one; the SQL still takes parts of the Spanish documents
+    of = lambda tokens: tokens.groupBy(F.substring("token", 1, 3).alias("base_word")).agg(F.collect_set("token").alias("found_forms"))
+    return wordforms.diff_wordforms(of(doc_tokens(spark, sf_dir)), of(conversation_tokens(spark, sf_dir)))
 
 
 @query(S.statement(S.TOK, _RUNS, select="SELECT base_word, array_to_string(lost, ' | ') AS lost, array_to_string(gained, ' | ') AS gained, array_to_string(kept, ' | ') AS kept FROM diff"))

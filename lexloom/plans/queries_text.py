@@ -22,6 +22,11 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.exploded_tokens(load(spark, sf_dir, "documents"), F.col("text"), keep=["doc_id", "lang", "source"])
 
 
+def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(token) of all turns of the conversations, which carry no language, in default mode."""
+    return O.exploded_tokens(load(spark, sf_dir, "conversations"), F.col("text"), keep=[])
+
+
 @query(S.statement(S.TOK, select="SELECT DISTINCT lang, token FROM tok"))
 def token_extraction(spark, sf_dir):
     return O.distinct_tokens(load(spark, sf_dir, "documents"), F.col("text"), keys=["lang"])

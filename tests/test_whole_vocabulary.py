@@ -51,3 +51,15 @@ def test_compounds_flags_and_exports_of_any_length(spark, tables):
     assert {r["flag"]: r["words"] for r in A.flag_usage(spark, tables).collect()}["U"] == len(german)
     want = {(la, w): " | ".join(sorted({g for g, lb, x in pairs() if (lb, x) == (la, w)})) for _, la, w in pairs()}
     assert {(r["lang"], r["word"]): r["sources"] for r in A.merged_exports(spark, tables).collect()} == want
+
+
+def test_both_sides_are_whole_tables(spark, tables):
+    """Half of the documents' ids are odd, and both tables' words count in any row."""
+    docs, turns = {w for _, _, w in pairs()}, {"haus", "Aberglaube", "wieder", "straße", "Vecino"}
+    assert {(r["original"], r["inferred_lower"]) for r in A.casing_inference(spark, tables).collect()} == {("Haus", "haus")}
+    got = {r["base_word"]: r for r in R.wordform_diff(spark, tables).collect()}
+    assert set(got) == {w[:3] for w in docs | turns}
+    for side, want in (("lost", docs - turns), ("gained", turns - docs), ("kept", docs & turns)):
+        assert {w for r in got.values() for w in r[side].split(" | ") if w} == want
+    totals = R.wordform_diff_totals(spark, tables).first()
+    assert (totals["lost"], totals["kept"], totals["gained"]) == (len(docs - turns), len(docs & turns), len(turns - docs))
