@@ -148,11 +148,9 @@ def quality(docs: DataFrame, text_col: str = "text", *, threshold: float = 0.5,
     scored = docs.withColumn("ll_signals", _signals(F.col(text_col)))
     if materialise:
         scored = cut(scored.drop(text_col), "quality")
-    # documents that fail the base rules are decided, and would shape the bad class in their own image
-    open_ = scored.where(~base_failed(F.col("ll_signals")))
-    table = F.broadcast(posterior_table(open_, F.col("ll_signals.pattern")))
-    out = scored.join(table, scored["ll_signals.pattern"] == table["ll_pattern"], "left")
-    failed, post = base_failed(F.col("ll_signals")), F.coalesce("ll_posterior", F.lit(0.5))
+    table = F.broadcast(posterior_table(scored, F.col("ll_signals.pattern")))
+    out = scored.join(table, scored["ll_signals.pattern"] == table["ll_pattern"])
+    failed, post = base_failed(F.col("ll_signals")), F.col("ll_posterior")
     fields = [F.col(f"ll_signals.{c}").alias(c) for c in SIGNALS]
     made = F.struct(*fields, failed.alias("base_failed"), post.alias("posterior"), (~failed & (post >= threshold)).alias("kept"))
     return out.withColumn("quality", made).select(*[c for c in docs.columns if c in scored.columns], "quality")

@@ -75,3 +75,14 @@ def test_fit_matches_em_written_out():
     for v, x in zip(docs, post):
         assert abs(posterior[Q.pattern_of(v)] - x) < 1e-6
     assert abs(share - p) < 1e-9 and np.allclose(accuracy, acc)
+
+
+def test_all_documents_are_fitted_and_get_the_posterior_of_their_pattern(spark):
+    texts = [GOOD + f" tail{i}" for i in range(20)] + [JUNK] * 4 + [LOOP] * 5 + ["few words only"] * 7 + [None]
+    counts = Counter(Q.pattern_of(Q.votes_of(Q.signals_of(t))) for t in texts)
+    posterior, _, _ = Q.fit(dict(counts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["quality"] for r in Q.quality(df).collect()}
+    assert len(out) == len(texts)
+    for i, t in enumerate(texts):
+        assert abs(out[i]["posterior"] - posterior[Q.pattern_of(Q.votes_of(Q.signals_of(t)))]) < 1e-9
