@@ -30,22 +30,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         return read_excel(spark, path)
     if kind == "xliff":
         raise ValueError(f"{path} is XLIFF; use read_xliff()")
-    raw = files.read_bytes(spark, path) if _is_small(spark, path) else None
-    encoding, sep = "UTF-8", "\t" if kind == "tsv" else ","
-    if raw is not None:
-        try:
-            head = raw.decode("utf-8-sig")
-        except UnicodeDecodeError:
-            encoding, head = "ISO-8859-1", raw.decode("latin-1")
-        sep = "\t" if kind == "tsv" else sniff_separator(head.split("\n", 1)[0])
+    # the text source keeps bytes as they are, so both are found at any size without taking the file to the driver
+    lines = spark.read.text(path)
+    encoding = "UTF-8" if lines.where(~F.is_valid_utf8("value")).isEmpty() else "ISO-8859-1"
+    sep = "\t"
+    if kind != "tsv":
+        head = lines.select(F.col("value").cast("binary")).first()
+        sep = sniff_separator(bytes(head[0]).decode("utf-8-sig" if encoding == "UTF-8" else "latin-1") if head else "")
     df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"')
     return df.toDF(*[c.lstrip("﻿") for c in df.columns])
 
 
-def _is_small(spark: SparkSession, path: str, most: int = 64 << 20) -> bool:
-    return spark.read.format("binaryFile").load(path).select("length").first()[0] <= most
-
-
 def read_excel(spark: SparkSession, path: str, *, lang: str | None = None) -> DataFrame:
     """The first sheet, or with ``lang`` the first that has values in that column."""
     import pandas as pd

@@ -196,3 +196,16 @@ def test_registry_agrees_on_names():
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and "neologisms_by_lang" in entry.queries()
     assert gzip
+
+
+@pytest.mark.parametrize("sep", [";", "|"])
+def test_separator_and_encoding_are_found_at_any_size(spark, tmp_path, sep):
+    line = f"monster.1.name{sep}jabal\u00ed de la monta\u00f1a{sep}{'x' * 2000}\n".encode("latin-1")
+    n = (64 << 20) // len(line) + 10
+    with open(tmp_path / "big.csv", "wb") as f:
+        f.write(f"key{sep}es{sep}other\n".encode())
+        f.write(line.replace("\u00ed".encode("latin-1"), b"i").replace("\u00f1".encode("latin-1"), b"n") * (n - 1) + line)  # only the last line tells
+    df = readers.read_table(spark, f"{tmp_path}/big.csv")
+    assert df.columns == ["key", "es", "other"]
+    terms = {r["es"]: r["count"] for r in df.groupBy("es").count().collect()}
+    assert terms == {"jabali de la montana": n - 1, "jabal\u00ed de la monta\u00f1a": 1}
