@@ -42,7 +42,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 def piece_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of words: each word and its character 3- to 5-grams, with its ends marked. One array
     of feature numbers for all, and where each word's begin."""
-    marked = ["^" + w.lower()[:64] + "$" for w in words]
+    marked = ["^" + w.lower() + "$" for w in words]
     chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.array([len(w) for w in marked], np.int64)
     begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
@@ -68,7 +68,7 @@ def piece_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(n: int, sizes: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    table = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(80, _MIX, np.uint64))])
+    table = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(int(sizes.max(initial=0)), _MIX, np.uint64))])
     return table[np.arange(n) - np.repeat(begin, sizes)]
 
 
@@ -297,8 +297,15 @@ class _Memo(dict):
         if len(self) + len(new) > most:
             self.clear()
             new = list({w for ws in texts for w in ws})
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
+        # at most 50,000 words and, unless one word has more, 500,000 characters at a time
+        part, chars = [], 0
+        for w in new:
+            if part and (len(part) == 50_000 or chars + len(w) > 500_000):
+                self.update(zip(part, model.evidence(part).tolist()))
+                part, chars = [], 0
+            part.append(w)
+            chars += len(w)
+        if part:
             self.update(zip(part, model.evidence(part).tolist()))
         return [np.fromiter(map(self.__getitem__, ws), np.float32, len(ws)) for ws in texts]
 

@@ -100,3 +100,17 @@ def test_features_are_the_same_alone_and_together():
     for w, part in zip(words, parts):
         assert sorted(part.tolist()) == sorted(X.piece_table([w])[0].tolist())
     assert sorted(parts[1].tolist()) == sorted(parts[2].tolist())
+
+
+def test_what_follows_character_64_of_a_token_counts():
+    clean, toxic = "_".join(["tare"] * 20), "_".join(["tare"] * 20 + ["grubling"])
+    rows = [(t, bool(y)) for _, t, y, _ in corpus(600, seed=3)]
+    rows += [("_".join([*"tare mo li su ne".split() * 5, m]), m == "grubling") for m in ["grubling", "kadiro"] * 20]
+    model = X.train([t for t, _ in rows], [y for _, y in rows])
+    low, high = model.evidence([clean, toxic])
+    assert high > low
+    words = [clean, toxic, "a" * 5000, "b"]
+    flat, begin = X.piece_table(words)
+    assert [len(x) for x in np.split(flat, begin[1:])] == [1 + sum(max(0, len(w) + 3 - n) for n in (3, 4, 5)) for w in words]
+    memo = X._Memo()
+    assert np.allclose(memo.of(model, [words, ["x" * 600_000, "b"]])[0], model.evidence(words), atol=1e-4)
