@@ -34,11 +34,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, similarity 0.8) the document with the smallest id stays."""
-    groups = jaccard_components(docs, n_gram=5, percent=80)
-    heads = groups.where("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(heads, "doc_id", "left_semi").withColumn("ll_nth", F.row_number().over(first)).where("ll_nth = 1")
+    """Of each group of near copies (five words, similarity 0.8) the document with the smallest id stays.
+
+    Rows are told apart by id and text, so rows that share an id go only with copies of their own text."""
+    sortable = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    keyed = docs.withColumn("ll_key", F.concat(sortable, F.lpad(F.hex(F.xxhash64("text")), 16, "0")))
+    groups = jaccard_components(keyed.select("ll_key", "text"), "ll_key", n_gram=5, percent=80)
+    heads = groups.where("ll_key = component_id").select("ll_key").distinct()
+    first = Window.partitionBy("ll_key").orderBy("text")
+    kept = keyed.join(heads, "ll_key", "left_semi").withColumn("ll_nth", F.row_number().over(first)).where("ll_nth = 1")
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 

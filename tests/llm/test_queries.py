@@ -87,3 +87,14 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
         stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
         assert docs.count() == 0
+
+
+def test_near_duplicates_keep_unlike_rows_of_one_id(spark):
+    import corpus_pipeline as C
+
+    text = lambda stem: " ".join(f"{stem}{i}" for i in range(80))
+    a, b, c, d = map(text, "abcd")
+    rows = [(3, a), (5, b), (5, a + " tail"), (7, c), (7, d), (7, c), (-2, d + " end"), (None, a), (8, ""), (8, None), (9, b + " x")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = sorted(((r["doc_id"], r["text"]) for r in C.near_duplicates(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(3, a), (5, b), (7, c), (-2, d + " end"), (None, a), (8, ""), (8, None)], key=str)
