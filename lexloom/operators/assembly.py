@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from .affix import expand
-
+from .materialise import cut
 
 
 def _none():
@@ -94,19 +94,20 @@ def assemble(bases: DataFrame, wordforms: DataFrame, rules: DataFrame, *, lang:
 
     Guards run before casing: a lower-case form that casing infers is not checked again.
     """
-    confirmed = confirmed_forms(bases, wordforms)
+    # tables that several joins read are written once, as plans would double with every use
+    confirmed = cut(confirmed_forms(bases, wordforms), "confirmed")
     exact = confirmed.where("tag <> 'tb_filtered_base' AND form = lower(form)").select("form")
     if lang == "en":
         confirmed = guard_possessives(confirmed)
     if audits is not None:
-        confirmed = guard_known_words(confirmed, audits)
+        confirmed = cut(guard_known_words(confirmed, audits), "guarded")
     left = confirmed.where("tag = 'tb_filtered_base'").select(F.col("form").alias("token")).distinct()
-    casing = infer_casing(left, exact)
+    casing = cut(infer_casing(left, exact), "casing")
     inferred = casing.select(F.col("inferred_lower").alias("form"), F.lit("casing_inference").alias("tag"), F.col("original").alias("parent"))
     everything = confirmed.unionByName(inferred)
     words = left.unionByName(casing.select(F.col("inferred_lower").alias("token"))).distinct()
-    assigned = assign_flags(words, wordforms, list(mandatory))
-    generated = generated_by_flags(assigned, rules, skip_flags=skip_flags)
+    assigned = cut(assign_flags(words, wordforms, list(mandatory)), "assigned")
+    generated = cut(generated_by_flags(assigned, rules, skip_flags=skip_flags), "generated")
     dropped = redundant_forms(everything, assigned, generated)
     rows = everything.groupBy(F.col("form").alias("token")).agg(F.array_sort(F.collect_set("tag")).alias("lineage_tags"), F.array_sort(F.collect_set("parent")).alias("source_base_words"))
     own = generated.groupBy(F.col("source").alias("token")).agg(F.array_sort(F.collect_set("form")).alias("flag_generated_forms"))

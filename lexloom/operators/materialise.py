@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame, name: str = "rows") -> DataFrame:
-    """``df`` written to the session's checkpoint folder (a temporary one only where that is unset) and read
-    back; the files go when the session's JVM ends."""
+    """``df`` written to the session's checkpoint folder and read back; the files go when the session's JVM ends.
+
+    Without such a folder a temporary one is made, but only under a local master: executors of a cluster would
+    each write to a disk of their own."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="lexloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/lexloom/{name}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions import predicates as P
 from .affix import expand
+from .materialise import cut
 
 
 def gender_ghosts(bases: DataFrame, lang: str, *, base: str = "base_lower") -> DataFrame:
@@ -71,7 +72,9 @@ def corpus_wordforms(
     if lang == "es":
         bases = bases.where(~F.col("base_lower").isin(*C.SPANISH_NOISE))
     lowers = bases.select("base_lower").distinct().withColumn("flags", F.array(*[F.lit(f) for f in all_flags]).cast("array<string>"))
-    forms = expand(lowers, rules, skip_flags=skip_flags, word="base_lower").withColumnRenamed("base", "base_lower").where("form <> base_lower")
+    # one expansion serves both forms and quorum
+    made = cut(expand(lowers, rules, skip_flags=skip_flags, word="base_lower", by_flag=True).withColumnRenamed("base", "base_lower"), "wordforms")
+    forms = made.select("base_lower", "form").distinct()
     found = attested(forms, case_map, lang).select("base_lower", "form", "spelling", F.lit("aff").alias("kind"))
     if names is not None:
         named = lowers.select("base_lower").join(names.select(F.col("token_lower").alias("base_lower")).distinct(), "base_lower", "left_semi")
@@ -87,7 +90,7 @@ def corpus_wordforms(
     collect = lambda kind, new: F.array_sort(F.collect_set(F.when((F.col("kind") == kind) & (~F.col("known") if new else F.lit(retain_known)), F.col("spelling"))))
     per_base = listed.groupBy("base_lower").agg(collect("aff", False).alias("found_forms"), collect("ghost", False).alias("ghost_forms"), collect("aff", True).alias("new_found_forms"), collect("ghost", True).alias("new_ghost_forms"))
     per_base = per_base.withColumn("ghost_forms", F.array_except("ghost_forms", "found_forms")).withColumn("new_ghost_forms", F.array_except("new_ghost_forms", "new_found_forms"))
-    evidence = flag_evidence(lowers.select("base_lower"), rules, case_map, lang=lang, flags=flags, quorum=quorum, skip_flags=skip_flags)
+    evidence = evidence_of(hits_by_flag(made, case_map, lang=lang, flags=flags, quorum=quorum))
     rows = bases.join(per_base, "base_lower", "left").join(evidence, "base_lower", "left")
     for c in ("found_forms", "ghost_forms", "new_found_forms", "new_ghost_forms", "validated_flags"):
         rows = rows.withColumn(c, F.coalesce(c, F.array().cast("array<string>")))
@@ -110,10 +113,14 @@ def corpus_wordforms(
 def quorum_rows(bases: DataFrame, rules: DataFrame, case_map: DataFrame, *, lang: str, flags: list[str], quorum: float, skip_flags: list[str] = ()) -> DataFrame:
     """(base_lower, flag, derived_count, hit_count, hit_ratio, passed, hit_forms_lower, hit_forms_truecase):
     each flag alone against the corpus."""
-    # each flag on its own, so prefixes and suffixes do not cross
-    alone = bases.select("base_lower", F.explode(F.array(*[F.lit(f) for f in flags]).cast("array<string>")).alias("flag")).withColumn("flags", F.array("flag"))
-    forms = expand(alone, rules, skip_flags=skip_flags, word="base_lower", by_flag=True)
-    forms = forms.where(F.col("flag").isin(flags)).select(F.col("base").alias("base_lower"), "form", "flag").distinct()
+    alone = bases.select("base_lower").distinct().withColumn("flags", F.array(*[F.lit(f) for f in flags]).cast("array<string>"))
+    made = expand(alone, rules, skip_flags=skip_flags, word="base_lower", by_flag=True).withColumnRenamed("base", "base_lower")
+    return hits_by_flag(made, case_map, lang=lang, flags=flags, quorum=quorum)
+
+
+def hits_by_flag(made: DataFrame, case_map: DataFrame, *, lang: str, flags: list[str], quorum: float) -> DataFrame:
+    """quorum_rows() of forms that are already there: (base_lower, form, flag), forms that cross flags left out."""
+    forms = made.where(F.col("flag").isin(flags)).select("base_lower", "form", "flag").distinct()
     truth = case_map.select(F.col("token_lower").alias("form"), "forms")
     rows = forms.join(truth, "form", "left")
     hit = F.col("forms").isNotNull()
@@ -132,9 +139,8 @@ def quorum_rows(bases: DataFrame, rules: DataFrame, case_map: DataFrame, *, lang
     )
 
 
-def flag_evidence(bases: DataFrame, rules: DataFrame, case_map: DataFrame, *, lang: str, flags: list[str], quorum: float, skip_flags: list[str] = ()) -> DataFrame:
-    """(base_lower, validated_flags, flag_evidence), flags in the order of their names."""
-    rows = quorum_rows(bases, rules, case_map, lang=lang, flags=flags, quorum=quorum, skip_flags=skip_flags)
+def evidence_of(rows: DataFrame) -> DataFrame:
+    """(base_lower, validated_flags, flag_evidence) of quorum_rows(), flags in the order of their names."""
     one = F.struct("flag", "derived_count", "hit_count", "hit_ratio", "passed", "hit_forms_lower", "hit_forms_truecase")
     return rows.groupBy("base_lower").agg(F.array_sort(F.collect_set(F.when(F.col("passed"), F.col("flag")))).alias("validated_flags"), F.array_sort(F.collect_list(one)).alias("flag_evidence"))
 

@@ -1,8 +1,8 @@
 """The whole way from glossaries and corpora to dictionaries and reports, for many (game, lang) pairs.
 
 Steps: tokens of the glossary (1), removal of what the base dictionary knows (2-3), corpus word forms and
-quorum (4), assembly (5) and the consolidated report (5b). DataFrames are handed on lazily; what several
-sinks share is persisted. A pair that fails is reported and does not stop the others, unless ``strict``.
+quorum (4), assembly (5) and the consolidated report (5b). What several steps or sinks share is written
+to the checkpoint folder, so plans stay short and executors keep no tables of pairs that are done. A pair that fails is reported and does not stop the others, unless ``strict``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 
 from ..operators import assembly, filtering, language, reports, tokens, wordforms
+from ..operators.materialise import cut
 from ..sources import files, hunspell, readers, writers
 
 
@@ -72,8 +73,8 @@ def selected(chosen: str | Iterable[str], available: Iterable[str]) -> list[str]
 
 def glossary_step(spark: SparkSession, inputs: Inputs, game: str, lang: str, corpus: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(tokens, keys of tokens, categories of tokens) of a pair's glossary."""
-    tb = readers.glossary(readers.read_table(spark, inputs.glossaries[game, lang]), lang, game).persist()
-    rows = tokens.glossary_tokens(tb, full_entities=True).persist()
+    tb = cut(readers.glossary(readers.read_table(spark, inputs.glossaries[game, lang]), lang, game), "glossary")
+    rows = cut(tokens.glossary_tokens(tb, full_entities=True), "glossary-tokens")
     words = rows.select("token").distinct()
     if lang == "es" and corpus is not None:
         first, named = tokens.first_word_rules(tb, rows)
@@ -90,7 +91,7 @@ def corpus_step(spark: SparkSession, inputs: Inputs, game: str, lang: str, optio
     rows = readers.read_i18n(spark, path, game, lang)
     if not options.detect_language or inputs.profile_texts is None:
         return rows
-    table = language.profiles(inputs.profile_texts).persist()
+    table = cut(language.profiles(inputs.profile_texts), "profiles")
     checked = language.language_filter(rows, table, lang=lang, min_words=options.min_words, min_confidence=options.min_confidence)
     return checked.where(~F.col("is_wrong")).select(*rows.columns)
 
@@ -107,40 +108,44 @@ def run_pair(spark: SparkSession, inputs: Inputs, game: str, lang: str, options:
     if not found["ok"]:
         raise FileNotFoundError(f"no dictionary for {lang}: {[c['dic'] for c in found['checks']]}")
     affixes = hunspell.read_affixes(spark, found["aff"])
-    rules, entries = affixes.table(spark).persist(), hunspell.read_entries(spark, found["dic"], affixes).persist()
+    rules, entries = affixes.table(spark), cut(hunspell.read_entries(spark, found["dic"], affixes), "entries")
 
     corpus = corpus_step(spark, inputs, game, lang, options)
     words, keys, categories = glossary_step(spark, inputs, game, lang, corpus)
-    words = words.persist()
+    words, keys, categories = cut(words, "words"), cut(keys, "keys"), cut(categories, "categories")
+    corpus = cut(corpus, "corpus") if corpus is not None else None
     done("tokens")
 
-    audits = filtering.filter_tokens(words, entries, rules, affixes.meta, token_keys=keys.drop("game", "lang")).persist()
-    kept = audits.where("status = 'kept_neologism'").select("token").persist()
+    audits = cut(filtering.filter_tokens(words, entries, rules, affixes.meta, token_keys=keys.drop("game", "lang")), "audits")
+    kept = audits.where("status = 'kept_neologism'").select("token")
     out.metrics |= {"tokens": words.count(), "kept": kept.count()}
     done("filter")
 
     flags = wordforms.candidate_flags(lang, rules, options.verbs)
     if options.skip_corpus or corpus is None:
         empty = wordforms.corpus_wordforms(kept.select(F.col("token").alias("base_word")).limit(0), rules, _no_cases(spark), lang=lang, flags=flags, skip_flags=affixes.skip_flags())
-        forms = empty.persist()
+        forms = cut(empty, "forms")
     else:
         spelled = readers.corpus_tokens(corpus).select("token")
-        case_map = tokens.case_map(spelled, keys=[]).persist()
+        case_map = cut(tokens.case_map(spelled, keys=[]), "case-map")
         bases = kept.select(F.col("token").alias("base_word"))
         if options.sample:
             bases = bases.orderBy("base_word").limit(options.sample)
         std = None if options.std_forms == "off" else filtering.known_forms(entries, rules, skip_flags=affixes.skip_flags(), heads_only=options.std_forms == "headwords", checksharps=bool(affixes.meta["CHECKSHARPS"]))
         names = categories.where(F.col("category").isin("monster", "npc", "title", "area")).select("token_lower")
-        forms = wordforms.corpus_wordforms(
+        found_forms = wordforms.corpus_wordforms(
             bases, rules, case_map, lang=lang, flags=flags, quorum=options.quorum, names=names, custom_known=kept.select(F.lower("token").alias("form")), std_known=std, retain_known=options.retain_known, skip_flags=affixes.skip_flags()
-        ).persist()
+        )
+        forms = cut(found_forms, "forms")
     out.metrics["wordform_rows"] = forms.count()
     done("wordforms")
 
     mandatory = [f for f in C.FLAG_POLICY.get(lang, {}).get("mandatory", []) if f in affixes.flags]
-    assembled = assembly.assemble(kept, forms, rules, lang=lang, mandatory=mandatory, audits=audits, skip_flags=affixes.skip_flags()).persist()
+    assembled = assembly.assemble(kept, forms, rules, lang=lang, mandatory=mandatory, audits=audits, skip_flags=affixes.skip_flags())
+    assembled = cut(assembled, "assembly")
     out.metrics |= assembly.assembly_totals(assembled).first().asDict()
     report = reports.consolidated_report(assembled, audits, words, kept, forms, game=game, lang=lang) if options.provenance else None
+    report = cut(report, "report") if report is not None else None
     out.tables = {"tokens": words, "keys": keys, "categories": categories, "audit": audits, "kept": kept, "wordforms": forms, "assembly": assembled, "report": report}
     done("assembly")
     if options.output:
@@ -252,8 +257,8 @@ def parse_verdicts(words: list[str], output: str) -> list[tuple[str, bool | None
     blocks = [b.split("\n") for b in "\n".join(x for x in lines if not x.startswith("@")).split("\n\n") if b.strip()]
     out = []
     for word, block in zip(words, blocks):
-        wrong = [x for x in block if x[:1] in "&#"]
-        right = any(x[:1] in "*+-" for x in block)
+        wrong = [x for x in block if x.startswith(("&", "#"))]
+        right = any(x.startswith(("*", "+", "-")) for x in block)
         hints = "; ".join(x.split(": ", 1)[1] for x in wrong if ": " in x)
         out.append((word, False if wrong else True if right else None, hints))
     return out + [(w, None, "no_block") for w in words[len(blocks) :]]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import assembly, language, reports, wordforms
+from ..operators.materialise import cut
 from . import sql as S
 from .common import add, load
 from .queries_text import conversation_tokens, doc_tokens, glossary
@@ -170,9 +171,9 @@ def _pair(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     from ..operators import tokens as O
     from .queries_affix import dictionary
 
-    tokens = doc_tokens(spark, sf_dir).where("lang = 'de'")
-    rows = O.glossary_tokens(glossary(spark, sf_dir))
-    words = rows.select("token").unionByName(tokens.select("token")).distinct()
+    tokens = cut(doc_tokens(spark, sf_dir).where("lang = 'de'"), "tokens")
+    rows = cut(O.glossary_tokens(glossary(spark, sf_dir)), "glossary-tokens")
+    words = cut(rows.select("token").unionByName(tokens.select("token")).distinct(), "words")
     return tokens, rows, words, dictionary(tokens).drop("lang")
 
 
@@ -186,9 +187,9 @@ def consolidated_report(spark, sf_dir):
     tokens, rows, words, entries = _pair(spark, sf_dir)
     rules = rule_table(spark, "de")
     forms = affix.expand(entries, rules, word="base_lower").select("form").distinct()
-    audits = filtering.audit(words, forms, token_keys=O.token_keys(rows).drop("game", "lang"))
+    audits = cut(filtering.audit(words, forms, token_keys=O.token_keys(rows).drop("game", "lang")), "audits")
     kept = audits.where("status = 'kept_neologism'").select("token")
-    cases = O.case_map(tokens.select("token"), keys=[])
-    found = wordforms.corpus_wordforms(kept.select(F.col("token").alias("base_word")), rules, cases, lang="de", flags=["N", "U"])
-    assembled = assembly.assemble(kept, found, rules, lang="de", mandatory=["U"], audits=audits)
+    cases = cut(O.case_map(tokens.select("token"), keys=[]), "cases")
+    found = cut(wordforms.corpus_wordforms(kept.select(F.col("token").alias("base_word")), rules, cases, lang="de", flags=["N", "U"]), "found")
+    assembled = cut(assembly.assemble(kept, found, rules, lang="de", mandatory=["U"], audits=audits), "assembly")
     return reports.csv_report(reports.consolidated_report(assembled, audits, words, kept, found, game="g", lang="de"))
