@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = " \t\n\x0b\x0c\r"
@@ -16,11 +18,13 @@ SPACE = " \t\n\x0b\x0c\r"
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors share.
 
-    It is the session's ``spark.checkpoint.dir``; only where that is unset (tests, local
-    runs) is a temporary folder of this machine used instead.
+    It is the session's ``spark.checkpoint.dir``; only where that is unset under a local master (tests)
+    is a temporary folder of this machine used instead. On a cluster such folders would be many, so it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="lexloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/lexloom"
@@ -44,6 +48,30 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Cuts of one computation by name, so that those which later ones replace are deleted at once and not
+    when the session ends. A table may go when all that read it is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        self.paths.setdefault(name, []).append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def free(self, *names: str) -> None:
+        """Delete these tables (all versions), and let the cleaner drop shuffle files of plans that are gone."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in names:
+            for path in self.paths.pop(name, []):
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(conf).delete(where, True)
+        gc.collect()
+        jvm.System.gc()
+
+
 def give_back() -> None:
     """Return a Python worker's unused memory to the system: workers stay, and share the executor's limit."""
     import ctypes
@@ -55,6 +83,32 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+class Carried:
+    """The columns of an input under private names while an operator works, so that none can clash with
+    the operator's own. At the end they are back under their names; one that is named like one of
+    ``outputs`` (in any case) comes back as ``input_`` and its name."""
+
+    def __init__(self, docs: DataFrame, *outputs: str):
+        self._private = [f"ll_in{i}" for i in range(len(docs.columns))]
+        self._names, self.df = docs.columns, docs.toDF(*self._private)
+        taken, self._public = {c.lower() for c in (*docs.columns, *outputs)}, []
+        for c in docs.columns:
+            public = c
+            while public.lower() in taken and (public != c or c.lower() in {o.lower() for o in outputs}):
+                public = f"input_{public}"
+            taken.add(public.lower())
+            self._public.append(public)
+
+    def name(self, column: str) -> str:
+        """The private name of a column of the input."""
+        return self._private[[c.lower() for c in self._names].index(column.lower())]
+
+    def back(self, **instead: Column) -> list[Column]:
+        """All columns of the input, those named in ``instead`` replaced."""
+        low = {k.lower(): v for k, v in instead.items()}
+        return [low.get(c.lower(), F.col(p)).alias(public) for c, p, public in zip(self._names, self._private, self._public)]
+
+
 def group_target(rows: int, least: int = 256, groups: int = 4096) -> int:
     """Rows that one salted group may hold: a fixed share of the table, so that the number of
     groups stays bounded while no task gets more than about 1/``groups`` of the rows."""

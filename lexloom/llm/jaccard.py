@@ -14,8 +14,11 @@ c(n, m) elements:
 Signatures and prefix elements make inverted lists of classes. Within a list, two classes are
 compared only if their sizes allow it and if their parity sketches differ in no more bits than similar
 sets can (each element in one set only flips one bit, so this never drops a link). First every class
-meets the heads of its lists; what those links connect needs no further comparison. What is left is
-compared in pairs. Links are decided by exact intersection, and their components are the result.
+meets the heads of its lists; what those links connect needs no further comparison. Classes that still
+share a list with one they are not connected to are compared through longer keys: the set is cut by
+hash range into more parts than similar sets can differ in elements, so similar sets agree on a whole
+part, and only classes with a part in common meet in pairs. A list of elements is thus never paired with
+itself. Links are decided by exact intersection, and their components are the result.
 
 Defined results: a null or empty text has an empty set and is its own component; a text with fewer
 words than n is one n-gram; rows with a null id are not linked and have a null component; rows that
@@ -35,13 +38,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, give_back
+from .common import Scratch, give_back
 from .components import components
 
 _U = np.uint64
 _MULT = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 SKETCH = 256
-SLOTS = 1 << 24
+#: most slots of the bitmap that tells whose sets to read
+SLOTS = 1 << 26
+#: share of a set's parts that may be empty before all its elements are cut into parts
+EMPTY = 0.15
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -234,8 +240,7 @@ def _postings(n_gram: int, percent: int, boundary: int, frequent):
                     out.append(found), owners.append(np.full(len(found), cls, np.int64))
                 if 100 * n >= percent * boundary:
                     p = prefix_length(n, percent)
-                    at = np.minimum(np.searchsorted(tokens, x), max(0, len(tokens) - 1))
-                    often = tokens[at] == x if len(tokens) else np.zeros(n, bool)
+                    often, at = _is_frequent(x, tokens)
                     first = x[~often][:p].copy()
                     if len(first) < p:
                         rest = x[often]
@@ -248,6 +253,86 @@ def _postings(n_gram: int, percent: int, boundary: int, frequent):
     return run
 
 
+@lru_cache(maxsize=1 << 16)
+def size_group(n: int, percent: int) -> tuple[int, int]:
+    """(number, largest size) of the group of sizes that ``n`` is in: the sizes from that of the first
+    member up to its largest similar partner, so similar sets are in one group or in two that adjoin."""
+    group, most = 0, 100 // percent
+    while most < n:
+        group, most = group + 1, 100 * (most + 1) // percent
+    return group, most
+
+
+@lru_cache(maxsize=1 << 16)
+def part_counts(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(key, differences, parts) for each group whose members, as the smaller set, a set of ``n`` elements can
+    be similar to: in at most how many elements the two differ, and into how many parts both are cut."""
+    out, (group, _) = [], size_group(n, percent)
+    for key in (group, group - 1):
+        most = size_group(n, percent)[1] if key == group else _group_end(key, percent)
+        if key >= 0 and n <= 100 * most // percent:
+            differ = (most + 100 * most // percent) * (100 - percent) // (100 + percent)
+            out.append((key, differ, differ + 1 + int(np.ceil(EMPTY * (differ + 1)))))
+    return out
+
+
+@lru_cache(maxsize=1 << 12)
+def _group_end(group: int, percent: int) -> int:
+    most = 100 // percent
+    for _ in range(group):
+        most = 100 * (most + 1) // percent
+    return most
+
+
+def part_signatures(x: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a sorted set, of which similar sets have one in common.
+
+    Sets that differ in at most d elements agree on at least p - d of p parts. Parts are made of the
+    elements that are not frequent; empty ones make no key unless more than p - d - 1 are empty. Such a set
+    also makes keys of parts of all its elements, and if of those as many are empty, keys of the empty ones:
+    two sets with few empty parts agree on one that is not empty, and two with many have such keys both.
+    """
+    out, rare = [], x[~often]
+    with np.errstate(over="ignore"):
+        for key, differ, parts in part_counts(len(x), percent):
+            for tier, y in enumerate((rare, x)):
+                at = ((y >> _U(32)) * _U(parts)) >> _U(32)  # never falls, as y is sorted
+                first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(y) else np.zeros(0, np.int64)
+                salt = mix64(np.array([key * 4 + tier], _U) * _MULT[2])[0]
+                if len(first):
+                    out.append(mix64(mix64(np.add.reduceat(y, first) + at[first] * _MULT[3]) + salt))
+                if parts - len(first) < parts - differ:
+                    break
+                if tier:
+                    empty = np.setdiff1d(np.arange(parts, dtype=_U), at[first])
+                    out.append(mix64(mix64(empty * _MULT[3] + _MULT[1]) + salt))
+    return np.concatenate(out) if out else np.zeros(0, _U)
+
+
+def _is_frequent(x: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``x`` are among the sorted ``tokens``, and where."""
+    at = np.minimum(np.searchsorted(tokens, x), max(0, len(tokens) - 1))
+    return (tokens[at] == x if len(tokens) else np.zeros(len(x), bool)), at
+
+
+def _parts(percent: int, frequent):
+    """(part, cls, hub) from (cls, hub, elements)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, _ = frequent.value
+        for batch in batches:
+            found = []
+            for e in batch.column(2):
+                x = np.sort(e.values.to_numpy(zero_copy_only=False).view(_U))
+                found.append(part_signatures(x, _is_frequent(x, tokens)[0], percent))
+            n = np.array([len(f) for f in found], np.int64)
+            owners = [np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found or [np.zeros(0, _U)]))), *map(pa.array, owners)], ["part", "cls", "hub"])
+            give_back()
+
+    return run
+
+
 def _sets(n_gram: int, wanted):
     """(cls, elements) of the texts whose slot is in the bitmap ``wanted``."""
 
@@ -273,15 +358,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of them, are broadcast. Which elements count as frequent changes the work, never the links.
     """
     spark, frequent_share = docs.sparkSession, min(1.0, 0.02 + 1.7 * (1 - percent / 100))
+    scratch = Scratch(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("ll_id"), F.col(text_col).alias("ll_text"))
-    described = cut(slim.mapInArrow(_describe(n_gram), f"ll_id {kind}, n int, cls long, s0 long, s1 long, s2 long, s3 long, wide array<long>"), "shingle-sets")
-    classes = cut(described.where("n > 0").groupBy("cls").agg(F.min("ll_id").alias("rep"), *[F.max(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3")]).where("rep is not null"), "shingle-classes")
+    described = scratch.cut(slim.mapInArrow(_describe(n_gram), f"ll_id {kind}, n int, cls long, s0 long, s1 long, s2 long, s3 long, wide array<long>"), "shingle-sets")
+    classes = scratch.cut(described.where("n > 0").groupBy("cls").agg(F.min("ll_id").alias("rep"), *[F.max(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3")]).where("rep is not null"), "shingle-classes")
 
     total = classes.agg(F.sum("n")).first()[0] or 0
     limit = max(64, -(-total // most_frequent))
     counted = slim.where(F.col("ll_id").isNotNull()).select("ll_text").mapInArrow(_low_elements(n_gram, frequent_share), "token long").groupBy("token").count()
-    counted = cut(counted.where("count > 1"), "shingle-counts")
+    counted = scratch.cut(counted.where("count > 1"), "shingle-counts")
     squares, singles = counted.where(F.col("count") <= limit).agg(F.sum(F.col("count") * F.col("count")), F.sum("count")).first()
     often = counted.where(F.col("count") > limit).collect()  # at most total / limit rows
     tokens = np.array([r[0] for r in often], np.int64).view(_U)
@@ -295,13 +381,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # each list has a head of its own, so a class meets as many heads as it has lists
     lists = made.repartition(F.col("token")).distinct().withColumn("least", F.min("cls").over(by_token)).withColumn("most", F.max("cls").over(by_token))
     lists = lists.withColumn("head", F.min_by("cls", F.xxhash64("token", "cls")).over(by_token))
-    lists = cut(lists.where("least < most").select("token", "cls", "head"), "shingle-lists")
+    lists = lists.where("least < most").withColumn("long", F.count("*").over(by_token) > limit)
+    sketch = classes.select("cls", "n", "s0", "s1", "s2", "s3")
+    entries = scratch.cut(lists.select("token", "cls", "head", "long").join(sketch, "cls"), "list-entries")
+    scratch.free("shingle-counts")
 
     wide = described.where("n > 0").select("cls", "wide")
-    links = _links(classes, wide, lists, slim, n_gram, percent)
+    links = _links(scratch, classes, wide, entries, slim, frequent, n_gram, percent)
     found = components(links).select(F.col("node").alias("rep"), "component")
     of_class = classes.select("cls", "rep").join(found, "rep", "left").select("cls", F.coalesce("component", "rep").alias("component"))
-    out = described.join(cut(of_class, "class-components"), "cls", "left")
+    of_class = scratch.cut(of_class, "class-components")
+    slim_rows = scratch.cut(described.select("ll_id", "n", "cls"), "shingle-rows")
+    scratch.free("shingle-sets", "shingle-classes", "links")
+    out = slim_rows.join(of_class, "cls", "left")
     own = F.when((F.col("n") > 0) & F.col("ll_id").isNotNull(), F.col("component")).otherwise(F.col("ll_id"))
     return out.select(F.col("ll_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
@@ -333,40 +425,57 @@ def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: i
     return close.join(of(sets, "a", e="elements"), "a").join(of(sets, "b", e="elements"), "b").where(100 * shared >= percent * united).select("a", "b")
 
 
-def _links(classes: DataFrame, wide: DataFrame, lists: DataFrame, slim: DataFrame, n_gram: int, percent: int) -> DataFrame:
-    """Links (a, b) between smallest ids of classes, enough to connect all that are connected."""
+def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataFrame, slim: DataFrame, frequent, n_gram: int, percent: int) -> DataFrame:
+    """Links (a, b) between smallest ids of classes, enough to connect all that are connected.
+
+    ``entries`` are the lists' classes with their sketches; a list is long if it holds more classes than an
+    element that is not frequent has documents. Only short lists are looked through entry by entry.
+    """
     spark = slim.sparkSession
     sketch = ["cls", "n", "s0", "s1", "s2", "s3"]
-    entries = cut(lists.join(classes.select(*sketch), "cls"), "list-entries")
     similar = _similar_sizes(percent)
+    short = entries.where("NOT long")
     other = (F.col("a.token") == F.col("b.token")) & (F.col("a.cls") != F.col("b.cls"))
 
     # classes that have any partner to be compared with, their wide sketches, and their sets; which
-    # texts to read for the sets is told by a bitmap of fixed size
-    involved = entries.alias("a").join(entries.alias("b"), other & similar, "left_semi").select("cls").distinct()
-    involved = cut(involved.join(classes.select("cls", "rep", "n"), "cls"), "involved")
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    words = involved.select(slot("rep").alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-    bitmap = np.zeros(SLOTS >> 6, np.int64)
-    for r in words.collect():  # at most SLOTS / 64 rows
-        bitmap[r["w"]] = r["bits"]
+    # texts to read for the sets is told by a bitmap
+    involved = short.alias("a").join(short.alias("b"), other & similar, "left_semi").select("cls").unionByName(entries.where("long").select("cls")).distinct()
+    involved = scratch.cut(involved.join(classes.select("cls", "rep", "n"), "cls"), "involved")
+    slots = min(SLOTS, 1 << max(16, (64 * involved.count()).bit_length()))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(slots))
+    words = involved.select(slot("rep").alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()  # at most slots / 64 rows
+    bitmap = np.zeros(slots >> 6, np.int64)
+    bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy()
     texts = slim.where(F.col("ll_id").isNotNull()).select("ll_text", slot("ll_id").alias("slot"))
-    sets = cut(texts.mapInArrow(_sets(n_gram, spark.sparkContext.broadcast(bitmap)), "cls long, elements array<long>"), "sets")
+    found = texts.mapInArrow(_sets(n_gram, spark.sparkContext.broadcast(bitmap)), "cls long, elements array<long>")
+    sets = scratch.cut(found.join(involved.select("cls"), "cls", "left_semi"), "sets")
     sketches = wide.join(involved.select("cls", "n", "rep"), "cls").groupBy("cls").agg(F.max("n").alias("n"), F.max_by("wide", "n").alias("wide"))
-    sketches = cut(sketches, "wide-sketches")
+    sketches = scratch.cut(sketches, "wide-sketches")
 
     # every class against the heads of its lists
     heads = entries.where("cls <> head").select("token", F.struct(*sketch).alias("a"), F.col("head"))
     tops = entries.where("cls = head").select("token", F.struct(*sketch).alias("b"))
     heads = heads.join(tops, "token").where(similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
-    stars = cut(_verified(heads, sketches, sets, percent).distinct(), "star-links")
+    stars = scratch.cut(_verified(heads, sketches, sets, percent).distinct(), "star-links")
 
-    # what the heads connect is not compared again; the rest is compared in pairs
+    # what the heads connect is not compared again
     near = components(stars).withColumnsRenamed({"node": "cls", "component": "hub"})
-    grouped = cut(entries.join(near, "cls", "left").withColumn("hub", F.coalesce("hub", "cls")), "grouped-entries")
-    order = (F.col("a.token") == F.col("b.token")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.hub") != F.col("b.hub"))
-    pairs = grouped.alias("a").join(grouped.alias("b"), order & similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
+    grouped = scratch.cut(entries.join(near, "cls", "left").withColumn("hub", F.coalesce("hub", "cls")), "grouped-entries")
+    scratch.free("list-entries")
+    left = grouped.where("NOT long")
+    open_ = left.alias("a").join(left.alias("b"), other & (F.col("a.hub") != F.col("b.hub")) & similar, "left_semi").select("cls", "hub")
+    mixed = grouped.where("long").groupBy("token").agg(F.min("hub").alias("x"), F.max("hub").alias("y")).where("x < y").select("token")
+    open_ = open_.unionByName(grouped.where("long").join(mixed, "token", "left_semi").select("cls", "hub")).distinct()
+    parts = open_.join(sets.dropDuplicates(["cls"]), "cls").select("cls", "hub", "elements").mapInArrow(_parts(percent, frequent), "part long, cls long, hub long")
+    parts = scratch.cut(parts.repartition(F.col("part")), "parts")
+    several = parts.groupBy("part").agg(F.min("hub").alias("x"), F.max("hub").alias("y")).where("x < y").select("part")
+    meet = scratch.cut(parts.join(several, "part", "left_semi").distinct().join(classes.select(*sketch), "cls"), "part-entries")
+    scratch.free("grouped-entries", "parts")
+    pair = (F.col("a.part") == F.col("b.part")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.hub") != F.col("b.hub"))
+    pairs = meet.alias("a").join(meet.alias("b"), pair & similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
     found = stars.unionByName(_verified(pairs, sketches, sets, percent)).distinct()
     ids = involved.select("cls", "rep")
     found = found.join(ids.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), "a").join(ids.select(F.col("cls").alias("b"), F.col("rep").alias("rb")), "b")
-    return found.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    found = scratch.cut(found.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "links")
+    scratch.free("involved", "sets", "wide-sketches", "star-links", "part-entries")
+    return found

@@ -10,7 +10,8 @@ itself is shuffled once, to meet its list.
 
 Defined results: a null or empty text is one empty line; a null id takes no part in the counts and
 its row stays as it is; rows that share an id count as one document and lose the same lines;
-an empty table gives an empty table; further columns are carried along unchanged.
+an empty table gives an empty table; further columns are carried along unchanged, one named
+``line_dedup`` as ``input_line_dedup``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut
+from .common import SPACE, Carried, cut
 
 
 def _key(line: str, min_chars: int) -> bytes | None:
@@ -73,6 +74,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least ``min_docs`` distinct documents stays only in the document with the largest id.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    carried = Carried(docs, "line_dedup")
+    doc, text = carried.name(id_col), carried.name(text_col)
     slim = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("ll_id"), F.col(text_col).alias("ll_text"))
     keys = slim.mapInArrow(_keys_of(min_chars), f"ll_id {kind}, ll_key binary")
     frequent = cut(
@@ -80,6 +83,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "line-keys",
     )
     lost = keys.join(frequent, "ll_key").where("ll_id <> ll_keep").groupBy("ll_id").agg(F.collect_set("ll_key").alias("ll_drop"))
-    joined = docs.join(lost, docs[id_col] == lost["ll_id"], "left")
-    done = joined.withColumn("line_dedup", _reassemble(min_chars)(docs[text_col], F.col("ll_drop")))
-    return done.select(*[F.col("line_dedup.text").alias(c) if c == text_col else docs[c] for c in docs.columns], "line_dedup")
+    joined = carried.df.join(lost, F.col(doc) == F.col("ll_id"), "left")
+    done = joined.withColumn("line_dedup", _reassemble(min_chars)(F.col(text), F.col("ll_drop")))
+    return done.select(*carried.back(**{text_col: F.col("line_dedup.text")}), "line_dedup")

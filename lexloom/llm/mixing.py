@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, group_target
+from .common import WORD, Carried, cut, group_target
 
 #: weights over training time, by the slot of a source: knots of (time, relative weight).
 SCHEDULES = (
@@ -120,26 +120,35 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     (documents that the mix leaves out come last). Options as for plan_mix()."""
     slim = docs.select(F.col(id_col).alias("ll_id"), F.col(source_col).cast("string").alias("ll_source"), words_in(F.col(text_col)).alias("size"))
     plan = plan_mix(slim, **options).withColumn("position", F.get("parts", F.lit(0))["position"])
-    return plan.withColumnsRenamed({"ll_id": id_col, "ll_source": source_col}).orderBy(F.col("position").asc_nulls_last(), id_col)
+    return plan.orderBy(F.col("position").asc_nulls_last(), "ll_id").withColumnsRenamed({"ll_id": id_col, "ll_source": source_col})
 
 
 def training_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` as the mix reads them, in training order: a document once an epoch that
     reads it, its text cut after the words taken; a struct column ``mix`` has epoch, taken and position.
 
-    Texts meet their part of the plan by id, size and a hash, in one shuffle; of rows equal in all three
-    each takes one part. A second shuffle sorts them.
+    Texts meet their part of the plan by id, source, size and a hash, in one shuffle; of rows equal in all
+    four each takes one part. A second shuffle sorts them. An input column named ``mix`` comes back as
+    ``input_mix``.
     """
-    on = ["ll_key", "ll_size", "ll_text"]
-    keyed = docs.withColumn("ll_key", F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).withColumn("ll_size", words_in(F.col(text_col))).withColumn("ll_text", F.xxhash64(text_col))
-    slim = keyed.select(F.col("ll_key").alias("ll_id"), F.col(source_col).cast("string").alias("ll_source"), F.col("ll_size").alias("size"), "ll_text")
-    plan = plan_mix(slim, keep=("ll_text",), **options).select(F.col("ll_id").alias("ll_key"), F.col("size").alias("ll_size"), "ll_text", "start", "parts")
+    on = ["ll_key", "ll_src", "ll_size", "ll_text"]
+    carried = Carried(docs, "mix")
+    text = carried.name(text_col)
+    marked = lambda c: F.coalesce(F.concat(F.lit("s"), c), F.lit("null"))
+    keyed = carried.df.withColumns({
+        "ll_key": F.coalesce(F.col(carried.name(id_col)).cast("string"), F.lit("null")),
+        "ll_src": marked(F.col(carried.name(source_col)).cast("string")),
+        "ll_size": words_in(F.col(text)),
+        "ll_text": F.xxhash64(text),
+    })
+    slim = keyed.select(F.col("ll_key").alias("ll_id"), F.col(carried.name(source_col)).cast("string").alias("ll_source"), F.col("ll_size").alias("size"), "ll_text")
+    plan = plan_mix(slim, keep=("ll_text",), **options).select(F.col("ll_id").alias("ll_key"), marked(F.col("ll_source")).alias("ll_src"), F.col("size").alias("ll_size"), "ll_text", "start", "parts")
     plan = plan.groupBy(*on).agg(F.array_sort(F.collect_list(F.struct("start", "parts"))).alias("ll_copies")).where(F.exists("ll_copies", lambda c: F.size(c["parts"]) > 0))
     rows = keyed.join(plan, on).withColumn("ll_nth", F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(0))))
     rows = rows.withColumn("mix", F.explode(F.get("ll_copies", F.col("ll_nth") - 1)["parts"]))
     # a word with the white space around it, so that a whole text comes back as it was
-    pieces = F.split(F.col(text_col), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    first_is_space = F.when(F.col(text_col).rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
+    pieces = F.split(F.col(text), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    first_is_space = F.when(F.col(text).rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
     head = F.array_join(F.slice(pieces, F.lit(1), (F.col("mix.taken") + first_is_space).cast("int")), "")
-    text = F.when(F.col("mix.taken") < F.col("ll_size"), head).otherwise(F.col(text_col))
-    return rows.orderBy("mix.position", "ll_key").select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], "mix")
+    read = F.when(F.col("mix.taken") < F.col("ll_size"), head).otherwise(F.col(text))
+    return rows.orderBy("mix.position", "ll_key").select(*carried.back(**{text_col: read}), "mix")

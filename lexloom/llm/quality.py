@@ -7,7 +7,8 @@ corpus, so EM runs on that table on the driver and sees every document. Posterio
 with the same bounded table.
 
 Defined results: a null or empty text has all counts 0 and fails the base rules; repeated rows count
-once each; an empty table gives an empty table; further columns are carried along.
+once each; an empty table gives an empty table; further columns are carried along, one named ``quality``
+as ``input_quality``.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, give_back
+from .common import WORD, Carried, cut, give_back
 
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_plain_words", "n_distinct")
 
@@ -143,14 +144,16 @@ def quality(docs: DataFrame, text_col: str = "text", *, threshold: float = 0.5,
     """``docs`` with a struct column ``quality``: the signals, ``base_failed``, ``posterior`` (probability
     of good quality) and ``kept`` (not failed, posterior at least ``threshold``).
 
-    ``materialise`` writes the scored rows once instead of scoring twice; right for slim inputs.
+    ``materialise`` writes the scored rows once instead of scoring twice; texts then come back as null.
     """
-    scored = docs.withColumn("ll_signals", _signals(F.col(text_col)))
+    carried = Carried(docs, "quality")
+    text = carried.name(text_col)
+    scored = carried.df.withColumn("ll_signals", _signals(F.col(text)))
     if materialise:
-        scored = cut(scored.drop(text_col), "quality")
+        scored = cut(scored.withColumn(text, F.lit(None).cast("string")), "quality")
     table = F.broadcast(posterior_table(scored, F.col("ll_signals.pattern")))
     out = scored.join(table, scored["ll_signals.pattern"] == table["ll_pattern"])
     failed, post = base_failed(F.col("ll_signals")), F.col("ll_posterior")
     fields = [F.col(f"ll_signals.{c}").alias(c) for c in SIGNALS]
     made = F.struct(*fields, failed.alias("base_failed"), post.alias("posterior"), (~failed & (post >= threshold)).alias("kept"))
-    return out.withColumn("quality", made).select(*[c for c in docs.columns if c in scored.columns], "quality")
+    return out.select(*carried.back(), made.alias("quality"))

@@ -1,7 +1,8 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Training runs on the driver over a bounded sample of labelled documents (``max_toxic`` and
-``max_clean`` rows, those with the smallest hash of their id). Documents are labelled, tokens are
+``max_clean`` rows, those with the smallest hash of their id; of a text longer than ``max_chars``, stretches
+from all over it, chosen by hash and cut out on the executors). Documents are labelled, tokens are
 not, so tokens get labels first: a word of a toxic document is toxic if it or a piece of it is found
 almost only in toxic documents, more often than chance allows (log-likelihood ratio), counting near
 copies once. The chain then has two states, clean and toxic; a token's evidence is the sum of the
@@ -14,7 +15,8 @@ Scoring reads whole texts on the executors; the model is an array of ``2**BITS``
 Defined results: a null or empty text has no tokens and gets the score of a text without evidence;
 null ids, labels and labels without a document are not trained on, contradictory labels count as
 toxic; without labels of both kinds every score is 0.5 and there are no spans; repeated rows are
-scored alike; an empty table gives an empty table.
+scored alike; an empty table gives an empty table; an input column named like an output comes back with
+``input_`` before its name.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Carried
+
 BITS = 20
 TOKEN = re.compile(r"\w+(?:[*@$!#]+\w+)*")
 PAD = 5
@@ -336,14 +340,22 @@ def scorer(model):
     return run
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, max_toxic: int = 1000, max_clean: int = 2000) -> Model | None:
-    """Train on at most ``max_toxic`` + ``max_clean`` labelled documents."""
+def _stretches(doc: Column, text: Column, most: int, size: int = 1000) -> Column:
+    """``text``, or of a longer one ``most`` characters in stretches chosen by hash, in their order."""
+    every = F.sequence(F.lit(0), F.floor((F.char_length(text) - 1) / size).cast("int"))
+    chosen = F.slice(F.array_sort(F.transform(every, lambda k: F.struct(F.xxhash64(doc, k).alias("h"), k.alias("k")))), 1, max(1, most // size))
+    parts = F.transform(F.array_sort(F.transform(chosen, lambda x: x["k"])), lambda k: F.substring(text, k * size + 1, F.lit(size)))
+    return F.when(F.char_length(text) <= most, text).otherwise(F.array_join(parts, " "))
+
+
+def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, max_toxic: int = 1000, max_clean: int = 2000, max_chars: int = 20_000) -> Model | None:
+    """Train on at most ``max_toxic`` + ``max_clean`` labelled documents and ``max_chars`` characters of each."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("ll_id")).agg((F.max(label_col) > 0).alias("ll_toxic"))
     totals = {r[0]: r[1] for r in known.groupBy("ll_toxic").count().collect()}
     by_hash = lambda toxic, most: known.where(F.col("ll_toxic") == toxic).orderBy(F.xxhash64("ll_id"), "ll_id").limit(most)
     chosen = by_hash(True, max_toxic).unionByName(by_hash(False, max_clean))
     texts = docs.select(F.col(id_col).alias("ll_id"), F.coalesce(text_col, F.lit("")).alias("ll_text")).join(F.broadcast(chosen), "ll_id")
-    rows = sorted(texts.select("ll_id", "ll_text", "ll_toxic").collect())
+    rows = sorted(texts.select("ll_id", _stretches(F.col("ll_id"), F.col("ll_text"), max_chars).alias("ll_text"), "ll_toxic").collect())
     rows = list({r[0]: r for r in rows}.values())
     toxic = [r[2] for r in rows]
     n1, n0 = sum(toxic), len(toxic) - sum(toxic)
@@ -359,11 +371,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """``docs`` with held_out, score, predicted, n_toxic and spans. Labels of held-out ids (crc32 of the
     id as text, modulo 3, is 1) are never looked at."""
     model = fit_on(docs, labels.where(~held_out(F.col(id_col))), id_col, text_col, label_col, **bounds)
-    found = scorer(docs.sparkSession.sparkContext.broadcast(model))(F.col(text_col))
-    out = docs.withColumn("ll_found", found)
-    return out.select(
-        *docs.columns,
-        held_out(F.col(id_col)).alias("held_out"),
+    carried = Carried(docs, "held_out", "score", "predicted", "n_toxic", "spans")
+    found = scorer(docs.sparkSession.sparkContext.broadcast(model))(F.col(carried.name(text_col)))
+    return carried.df.withColumn("ll_found", found).select(
+        *carried.back(),
+        held_out(F.col(carried.name(id_col))).alias("held_out"),
         F.col("ll_found.score").alias("score"),
         (F.col("ll_found.score") >= threshold).cast("int").alias("predicted"),
         F.col("ll_found.n_toxic").alias("n_toxic"),

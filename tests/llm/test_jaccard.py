@@ -126,6 +126,30 @@ def test_similar_small_sets_share_a_signature(n, lost, added, percent):
         assert a & b
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 150), st.floats(0, 0.3), st.floats(0, 0.3), st.sampled_from([50, 80, 90]), st.sampled_from([0, 0.3, 0.9, 1]), st.integers(0, 2**32))
+def test_similar_sets_share_a_part(n, lost, added, percent, often, seed):
+    rng = np.random.default_rng(seed)
+    x = np.unique(J.mix64(rng.integers(0, 2**62, n).astype(np.uint64)))
+    y = np.unique(np.concatenate([x[int(lost * len(x)) :], J.mix64(rng.integers(0, 2**62, int(added * n)).astype(np.uint64))]))
+    both = len(np.intersect1d(x, y))
+    if len(y) and 100 * both >= percent * (len(x) + len(y) - both):
+        frequent = np.sort(np.array([t for t in np.union1d(x, y) if rng.random() < often], np.uint64))
+        a, b = (J.part_signatures(s, J._is_frequent(s, frequent)[0], percent) for s in (x, y))
+        assert len(np.intersect1d(a, b))
+
+
+def test_size_groups_hold_similar_sizes():
+    for percent in (50, 80, 90, 100):
+        for n in range(1, 400):
+            keys = {k: p for k, _, p in J.part_counts(n, percent)}
+            for m in range(n, 100 * n // percent + 1):
+                shared = {k for k, _, p in J.part_counts(m, percent) if keys.get(k) == p}
+                assert J.size_group(n, percent)[0] in shared
+                differ = {d for k, d, _ in J.part_counts(m, percent) if k == J.size_group(n, percent)[0]}
+                assert n + m - 2 * J.least_overlap(n, m, percent) <= max(differ)
+
+
 def test_chain_of_links(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 300)] + [(1000, 2000), (2000, 1500)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links).collect()}

@@ -4,6 +4,7 @@ import os
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables are not here")
@@ -94,7 +95,29 @@ def test_near_duplicates_keep_unlike_rows_of_one_id(spark):
 
     text = lambda stem: " ".join(f"{stem}{i}" for i in range(80))
     a, b, c, d = map(text, "abcd")
-    rows = [(3, a), (5, b), (5, a + " tail"), (7, c), (7, d), (7, c), (-2, d + " end"), (None, a), (8, ""), (8, None), (9, b + " x")]
+    rows = [(3, a), (5, b), (5, a + " tail"), (7, c), (7, d), (7, c), (-2, d + " end"), (None, a), (8, ""), (8, None), (9, b + " x"), (None, d), (None, d), (None, None)]
     docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
     got = sorted(((r["doc_id"], r["text"]) for r in C.near_duplicates(spark, docs, SF).collect()), key=str)
-    assert got == sorted([(3, a), (5, b), (7, c), (-2, d + " end"), (None, a), (8, ""), (8, None)], key=str)
+    # a null id comes last, so a goes from it; d of 7 goes as -2 holds it; rows of 7 with c are one
+    assert got == sorted([(3, a), (5, b), (7, c), (-2, d + " end"), (8, ""), (8, None), (None, None)], key=str)
+
+
+def test_stages_on_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    """Every stage keeps the columns of its input, whatever they are called, and takes nulls and repeated rows."""
+    import corpus_pipeline as C
+
+    line = "a line of words that many of these documents hold"
+    text = lambda stem: "\n".join([" ".join(f"{stem}word{i}x" for i in range(90)), line])
+    rows = [(i, text("abcdefgh"[i % 8] + str(i)), "en", f"s{i % 3}", 9, "k") for i in range(30)]
+    rows += [(4, rows[4][1], "en", "s1", 9, "k")] * 3 + [(None, text("zz"), None, None, None, None), (50, None, "en", "s1", 0, "k"), (51, "", "en", None, 0, "k")]
+    names = "doc_id long, text string, lang string, source string, n_chars long, quality string"
+    docs = spark.createDataFrame(rows, names).withColumns({c: F.lit("own") for c in ("line_dedup", "mix", "ll_key", "pii", "ll_signals", "component_id")})
+    for k, (name, stage) in enumerate(C.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
+        out = spark.read.parquet(str(tmp_path / str(k)))
+        assert out.count() > 0
+        if name != "packing":
+            assert out.columns == docs.columns
+            assert out.where("mix <> 'own' OR line_dedup <> 'own' OR ll_key <> 'own' OR ll_signals <> 'own'").count() == 0
+            assert {r[0] for r in out.select("quality").distinct().collect()} <= {"k", None}
+            docs = out

@@ -50,7 +50,10 @@ def test_held_out_accuracy_and_spans(spark):
     rows = corpus(1500)
     docs = spark.createDataFrame([(i, t, "x") for i, t, *_ in rows] + [(5000, None, "x"), (5001, "", "x"), (None, "clean tare", "x"), (5002, "tare mo li " * 30000 + "grubling", "x")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(i, label) for i, _, label, _ in rows] + [(None, 1), (7000, 1), (1, None)], "doc_id long, toxic int")
-    out = X.score_toxicity(docs.drop("score"), labels).collect()
+    out = X.score_toxicity(docs, labels)
+    assert out.columns[:3] == ["doc_id", "text", "input_score"]
+    out = out.collect()
+    assert {r["input_score"] for r in out} == {"x"}
     assert len(out) == len(rows) + 4
     got, truth = {r["doc_id"]: r for r in out}, {i: t for i, _, _, t in rows}
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in out if r["doc_id"] is not None)
