@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import cut, table
+from lexloom.llm.common import Carried, Scratch, cut, table
 from lexloom.llm.jaccard import jaccard_components
 from lexloom.llm.line_dedup import dedup_lines
 from lexloom.llm.mixing import training_stream
@@ -18,12 +18,12 @@ from lexloom.llm.tokens import public_path
 
 def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs``, n_chars following the text."""
-    return docs.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in columns])
+    return docs.select(*docs.columns[: len(columns)]).toDF(*columns).select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return quality(docs).where("quality.kept").drop("quality")
+    return quality(docs).where("quality.kept").drop("quality").toDF(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,16 +34,32 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, similarity 0.8) the document with the smallest id stays.
-
-    Rows are told apart by id and text, so rows that share an id go only with copies of their own text."""
-    sortable = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
-    keyed = docs.withColumn("ll_key", F.concat(sortable, F.lpad(F.hex(F.xxhash64("text")), 16, "0")))
-    groups = jaccard_components(keyed.select("ll_key", "text"), "ll_key", n_gram=5, percent=80)
-    heads = groups.where("ll_key = component_id").select("ll_key").distinct()
-    first = Window.partitionBy("ll_key").orderBy("text")
-    kept = keyed.join(heads, "ll_key", "left_semi").withColumn("ll_nth", F.row_number().over(first)).where("ll_nth = 1")
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """Of each group of near copies (five words, similarity 0.8) the document with the smallest id stays, a
+    null id coming last.
+
+    Rows are told apart by id and text, so rows that share an id go only with copies of their own text; of
+    rows equal in both one stays. Which go is decided on keys; texts meet the table of those that go only.
+    """
+    scratch = Scratch(spark)
+    carried = Carried(docs)
+    doc, text = F.col(carried.name("doc_id")).alias("doc_id"), carried.name("text")
+    keyed = carried.df.withColumn("ll_key", F.xxhash64(carried.name("doc_id"), text))
+    groups = jaccard_components(keyed.select("ll_key", text), "ll_key", text, n_gram=5, percent=80)
+    groups = scratch.cut(groups.groupBy("ll_key", "component_id").count(), "groups")
+    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    members = groups.join(several, "component_id", "left_semi").select("ll_key", "component_id")
+    members = scratch.cut(keyed.select("ll_key", doc).join(members, "ll_key").distinct(), "members")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "ll_key")
+    heads = members.groupBy("component_id").agg(F.min(first).alias("head"))
+    gone = scratch.cut(members.join(heads, "component_id").where("ll_key <> head.ll_key").select("ll_key"), "gone")
+    repeated = scratch.cut(groups.where("count > 1").select("ll_key"), "repeated")
+    scratch.free("groups", "members")
+    kept = keyed.join(gone, "ll_key", "left_anti")
+    if not repeated.isEmpty():
+        nth = F.row_number().over(Window.partitionBy("ll_key").orderBy(F.xxhash64(*carried.df.columns), *carried.df.columns))
+        one = kept.join(repeated, "ll_key", "left_semi").withColumn("ll_nth", nth).where("ll_nth = 1").drop("ll_nth")
+        kept = kept.join(repeated, "ll_key", "left_anti").unionByName(one)
+    return kept.select(*carried.back())
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
