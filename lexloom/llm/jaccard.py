@@ -17,8 +17,8 @@ sets can (each element in one set only flips one bit, so this never drops a link
 meets the heads of its lists; what those links connect needs no further comparison. Classes that still
 share a list with one they are not connected to are compared through longer keys: the set is cut by
 hash range into more parts than similar sets can differ in elements, so similar sets agree on a whole
-part, and only classes with a part in common meet in pairs. A list of elements is thus never paired with
-itself. Links are decided by exact intersection, and their components are the result.
+part, and only classes with a part in common meet: first, for some rounds, the head of each part's list,
+then those in pairs that are still not connected. A list of elements is thus never paired with itself. Links are decided by exact intersection, and their components are the result.
 
 Defined results: a null or empty text has an empty set and is its own component; a text with fewer
 words than n is one n-gram; rows with a null id are not linked and have a null component; rows that
@@ -46,8 +46,10 @@ _MULT = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 SKETCH = 256
 #: most slots of the bitmap that tells whose sets to read
 SLOTS = 1 << 26
-#: share of a set's parts that may be empty before all its elements are cut into parts
-EMPTY = 0.15
+#: how often classes meet new heads of their lists before they meet each other
+ROUNDS = 3
+#: how many of a class's parts tell whether a pair was met in a list before
+FIRST_PARTS = 8
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -272,10 +274,17 @@ def part_counts(n: int, percent: int) -> list[tuple[int, int, int]]:
         most = size_group(n, percent)[1] if key == group else _group_end(key, percent)
         if key >= 0 and n <= 100 * most // percent:
             differ = (most + 100 * most // percent) * (100 - percent) // (100 + percent)
-            out.append((key, differ, differ + 1 + int(np.ceil(EMPTY * (differ + 1)))))
+            out.append((key, differ, differ + 1 + int(np.ceil(_empty_share(percent) * (differ + 1)))))
     return out
 
 
+def _empty_share(percent: int) -> float:
+    """How many parts more than needed are cut, as some are empty: twice those of a set a fifth of whose
+    elements are frequent, with as many parts as differences."""
+    differences = (100 - percent) / (100 + percent) * (1 + 100 / percent) * 100 / percent  # an element of the smallest set of a group
+    return min(1.0, max(0.02, 2 * float(np.exp(-0.8 / max(differences, 1e-9)))))
+
+
 @lru_cache(maxsize=1 << 12)
 def _group_end(group: int, percent: int) -> int:
     most = 100 // percent
@@ -384,7 +393,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = lists.where("least < most").withColumn("long", F.count("*").over(by_token) > limit)
     sketch = classes.select("cls", "n", "s0", "s1", "s2", "s3")
     entries = scratch.cut(lists.select("token", "cls", "head", "long").join(sketch, "cls"), "list-entries")
-    scratch.free("shingle-counts")
 
     wide = described.where("n > 0").select("cls", "wide")
     links = _links(scratch, classes, wide, entries, slim, frequent, n_gram, percent)
@@ -459,23 +467,49 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     stars = scratch.cut(_verified(heads, sketches, sets, percent).distinct(), "star-links")
 
     # what the heads connect is not compared again
-    near = components(stars).withColumnsRenamed({"node": "cls", "component": "hub"})
-    grouped = scratch.cut(entries.join(near, "cls", "left").withColumn("hub", F.coalesce("hub", "cls")), "grouped-entries")
-    scratch.free("list-entries")
+    near = scratch.cut(components(stars).withColumnsRenamed({"node": "cls", "component": "hub"}), "hubs")
+    grouped = entries.join(near, "cls", "left").withColumn("hub", F.coalesce("hub", "cls"))
     left = grouped.where("NOT long")
     open_ = left.alias("a").join(left.alias("b"), other & (F.col("a.hub") != F.col("b.hub")) & similar, "left_semi").select("cls", "hub")
     mixed = grouped.where("long").groupBy("token").agg(F.min("hub").alias("x"), F.max("hub").alias("y")).where("x < y").select("token")
-    open_ = open_.unionByName(grouped.where("long").join(mixed, "token", "left_semi").select("cls", "hub")).distinct()
-    parts = open_.join(sets.dropDuplicates(["cls"]), "cls").select("cls", "hub", "elements").mapInArrow(_parts(percent, frequent), "part long, cls long, hub long")
-    parts = scratch.cut(parts.repartition(F.col("part")), "parts")
-    several = parts.groupBy("part").agg(F.min("hub").alias("x"), F.max("hub").alias("y")).where("x < y").select("part")
-    meet = scratch.cut(parts.join(several, "part", "left_semi").distinct().join(classes.select(*sketch), "cls"), "part-entries")
-    scratch.free("grouped-entries", "parts")
-    pair = (F.col("a.part") == F.col("b.part")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.hub") != F.col("b.hub"))
-    pairs = meet.alias("a").join(meet.alias("b"), pair & similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
-    found = stars.unionByName(_verified(pairs, sketches, sets, percent)).distinct()
+    open_ = scratch.cut(open_.unionByName(grouped.where("long").join(mixed, "token", "left_semi").select("cls", "hub")).distinct(), "open-classes")
+    scratch.free("list-entries")
+    parts = open_.join(sets, "cls").select("cls", "hub", "elements").mapInArrow(_parts(percent, frequent), "part long, cls long, hub long")
+    meet = _of_several_hubs(parts.repartition(F.col("part"))).distinct().join(classes.select(*sketch), "cls")
+    meet = scratch.cut(meet, "part-entries-0")
+
+    # classes meet the heads of their parts, drawn anew each round, until no link is new; what is then left meets in pairs
+    links = stars
+    differ = (F.col("a.part") == F.col("b.part")) & (F.col("a.hub") != F.col("b.hub")) & similar
+    both = lambda df: df.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
+    for nth in range(1, ROUNDS + 1):
+        rank = F.row_number().over(Window.partitionBy("part").orderBy(F.xxhash64(F.lit(nth), "cls"), "cls"))
+        tops = meet.withColumn("rank", rank).where("rank = 1").drop("rank")
+        new = scratch.cut(_verified(both(meet.alias("a").join(tops.alias("b"), differ)), sketches, sets, percent).distinct(), f"round-{nth}")
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        hubs = meet.select("cls", "hub").distinct()
+        joined = new.join(hubs.select(F.col("cls").alias("a"), F.col("hub").alias("x")), "a").join(hubs.select(F.col("cls").alias("b"), F.col("hub").alias("y")), "b")
+        merged = components(joined.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnsRenamed({"node": "hub", "component": "to"})
+        rows = meet.join(merged, "hub", "left").withColumn("hub", F.coalesce("to", "hub")).drop("to")
+        meet = scratch.cut(_of_several_hubs(rows), f"part-entries-{nth}")
+        scratch.free(f"part-entries-{nth - 1}")
+    # a pair meets in the list of the smallest part that both have, as far as their first parts tell
+    low = meet.groupBy("cls").agg(F.slice(F.array_sort(F.collect_set("part")), 1, FIRST_PARTS).alias("low"))
+    meet = meet.join(low, "cls")
+    smallest = F.coalesce(F.array_min(F.array_intersect("a.low", "b.low")) >= F.col("a.part"), F.lit(True))
+    pairs = both(meet.alias("a").join(meet.alias("b"), differ & (F.col("a.cls") < F.col("b.cls")) & smallest))
+    found = links.unionByName(_verified(pairs, sketches, sets, percent)).distinct()
     ids = involved.select("cls", "rep")
     found = found.join(ids.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), "a").join(ids.select(F.col("cls").alias("b"), F.col("rep").alias("rb")), "b")
     found = scratch.cut(found.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "links")
-    scratch.free("involved", "sets", "wide-sketches", "star-links", "part-entries")
+    scratch.free(*[name for name in scratch.paths if name not in ("links", "shingle-sets", "shingle-classes")])
     return found
+
+
+def _of_several_hubs(rows: DataFrame) -> DataFrame:
+    """The rows of the parts that classes of more than one hub have."""
+    by_part = Window.partitionBy("part")
+    rows = rows.withColumn("x", F.min("hub").over(by_part)).withColumn("y", F.max("hub").over(by_part))
+    return rows.where("x < y").drop("x", "y")
