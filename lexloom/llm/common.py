@@ -63,13 +63,17 @@ class Scratch:
 
     def free(self, *names: str) -> None:
         """Delete these tables (all versions), and let the cleaner drop shuffle files of plans that are gone."""
+        self.forget(*names)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+    def forget(self, *names: str) -> None:
+        """Delete these tables (all versions)."""
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
             for path in self.paths.pop(name, []):
                 where = jvm.org.apache.hadoop.fs.Path(path)
                 where.getFileSystem(conf).delete(where, True)
-        gc.collect()
-        jvm.System.gc()
 
 
 def give_back() -> None:

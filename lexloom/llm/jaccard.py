@@ -418,19 +418,25 @@ def _most_apart(n: Column, m: Column, percent: int) -> Column:
     return n + m - 2 * F.ceil(percent * (n + m) / F.lit(100.0 + percent) - 1e-9)
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar. Their sketches of about a bit an element, which
-    fold to the narrower of two, come first; the sets of what is left are intersected."""
+def _verified(scratch: Scratch, pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar, written. Their sketches of about a bit an element,
+    which fold to the narrower of two, come first; of what is left only the sets are read and intersected."""
     of = lambda df, side, **names: df.select(F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{new}") for new, c in names.items()])
+    pairs = scratch.cut(pairs, "pairs")
     known = pairs.join(of(sketches, "a", n="n", w="wide"), "a").join(of(sketches, "b", n="n", w="wide"), "b")
     half = lambda w, k: F.slice(w, (F.size(w) / 2).cast("int") * k + 1, (F.size(w) / 2).cast("int"))
     fold = lambda w, other: F.when(F.size(w) > F.size(other), F.zip_with(half(w, 0), half(w, 1), lambda x, y: x.bitwiseXOR(y))).otherwise(w)
     a, b = F.col("a_w"), F.col("b_w")
     apart = F.aggregate(F.zip_with(fold(a, b), fold(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    close = known.where(apart <= _most_apart(F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
+    close = scratch.cut(known.where(apart <= _most_apart(F.col("a_n"), F.col("b_n"), percent)).select("a", "b"), "close-pairs")
+    asked = scratch.cut(close.select(F.col("a").alias("cls")).unionByName(close.select(F.col("b").alias("cls"))).distinct(), "asked-classes")
+    sets = sets.join(asked, "cls", "left_semi")
     shared = F.size(F.array_intersect("a_e", "b_e"))
     united = F.size("a_e") + F.size("b_e") - shared
-    return close.join(of(sets, "a", e="elements"), "a").join(of(sets, "b", e="elements"), "b").where(100 * shared >= percent * united).select("a", "b")
+    found = close.join(of(sets, "a", e="elements"), "a").join(of(sets, "b", e="elements"), "b").where(100 * shared >= percent * united).select("a", "b").distinct()
+    found = scratch.cut(found, "verified")
+    scratch.forget("pairs", "close-pairs", "asked-classes")
+    return found
 
 
 def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataFrame, slim: DataFrame, frequent, n_gram: int, percent: int) -> DataFrame:
@@ -447,8 +453,9 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
 
     # classes that have any partner to be compared with, their wide sketches, and their sets; which
     # texts to read for the sets is told by a bitmap
-    involved = short.alias("a").join(short.alias("b"), other & similar, "left_semi").select("cls").unionByName(entries.where("long").select("cls")).distinct()
-    involved = scratch.cut(involved.join(classes.select("cls", "rep", "n"), "cls"), "involved")
+    entries = scratch.cut(short.alias("a").join(short.alias("b"), other & similar, "left_semi").unionByName(entries.where("long")), "entries-with-partner")
+    scratch.free("list-entries")
+    involved = scratch.cut(entries.select("cls").distinct().join(classes.select("cls", "rep", "n"), "cls"), "involved")
     slots = min(SLOTS, 1 << max(16, (64 * involved.count()).bit_length()))
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(slots))
     words = involved.select(slot("rep").alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()  # at most slots / 64 rows
@@ -464,7 +471,7 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     heads = entries.where("cls <> head").select("token", F.struct(*sketch).alias("a"), F.col("head"))
     tops = entries.where("cls = head").select("token", F.struct(*sketch).alias("b"))
     heads = heads.join(tops, "token").where(similar).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
-    stars = scratch.cut(_verified(heads, sketches, sets, percent).distinct(), "star-links")
+    stars = _verified(scratch, heads, sketches, sets, percent)
 
     # what the heads connect is not compared again
     near = scratch.cut(components(stars).withColumnsRenamed({"node": "cls", "component": "hub"}), "hubs")
@@ -473,7 +480,7 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     open_ = left.alias("a").join(left.alias("b"), other & (F.col("a.hub") != F.col("b.hub")) & similar, "left_semi").select("cls", "hub")
     mixed = grouped.where("long").groupBy("token").agg(F.min("hub").alias("x"), F.max("hub").alias("y")).where("x < y").select("token")
     open_ = scratch.cut(open_.unionByName(grouped.where("long").join(mixed, "token", "left_semi").select("cls", "hub")).distinct(), "open-classes")
-    scratch.free("list-entries")
+    scratch.free("entries-with-partner")
     parts = open_.join(sets, "cls").select("cls", "hub", "elements").mapInArrow(_parts(percent, frequent), "part long, cls long, hub long")
     meet = _of_several_hubs(parts.repartition(F.col("part"))).distinct().join(classes.select(*sketch), "cls")
     meet = scratch.cut(meet, "part-entries-0")
@@ -485,7 +492,7 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     for nth in range(1, ROUNDS + 1):
         rank = F.row_number().over(Window.partitionBy("part").orderBy(F.xxhash64(F.lit(nth), "cls"), "cls"))
         tops = meet.withColumn("rank", rank).where("rank = 1").drop("rank")
-        new = scratch.cut(_verified(both(meet.alias("a").join(tops.alias("b"), differ)), sketches, sets, percent).distinct(), f"round-{nth}")
+        new = _verified(scratch, both(meet.alias("a").join(tops.alias("b"), differ)), sketches, sets, percent)
         if new.isEmpty():
             break
         links = links.unionByName(new)
@@ -500,7 +507,7 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     meet = meet.join(low, "cls")
     smallest = F.coalesce(F.array_min(F.array_intersect("a.low", "b.low")) >= F.col("a.part"), F.lit(True))
     pairs = both(meet.alias("a").join(meet.alias("b"), differ & (F.col("a.cls") < F.col("b.cls")) & smallest))
-    found = links.unionByName(_verified(pairs, sketches, sets, percent)).distinct()
+    found = links.unionByName(_verified(scratch, pairs, sketches, sets, percent)).distinct()
     ids = involved.select("cls", "rep")
     found = found.join(ids.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), "a").join(ids.select(F.col("cls").alias("b"), F.col("rep").alias("rb")), "b")
     found = scratch.cut(found.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "links")
