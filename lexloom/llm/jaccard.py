@@ -324,19 +324,39 @@ def _is_frequent(x: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (tokens[at] == x if len(tokens) else np.zeros(len(x), bool)), at
 
 
-def _parts(percent: int, frequent):
-    """(part, cls, hub) from (cls, hub, elements)."""
+def _bitmap(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """How many slots there are, and a bit for each that an id of ``ids`` (one column) falls into: a filter for
+    tables that should not be shuffled. Its size has a bound, beyond which it lets more through."""
+    column = ids.columns[0]
+    slots = min(SLOTS, 1 << max(16, (64 * ids.count()).bit_length()))
+    words = ids.select(_slot(column, slots).alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()  # at most slots / 64 rows
+    bits = np.zeros(slots >> 6, np.int64)
+    bits[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return slots, bits
+
+
+def _slot(column: str, slots: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(slots))
+
+
+def _wanted(slots: pa.Array, bits: np.ndarray) -> pa.Array:
+    at = slots.to_numpy()
+    return pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1)
+
+
+def _parts(percent: int, frequent, wanted):
+    """(part, cls) from (cls, elements, slot) of the classes whose slot is in the bitmap ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, _ = frequent.value
         for batch in batches:
+            batch = batch.filter(_wanted(batch.column(2), wanted.value))
             found = []
-            for e in batch.column(2):
+            for e in batch.column(1):
                 x = np.sort(e.values.to_numpy(zero_copy_only=False).view(_U))
                 found.append(part_signatures(x, _is_frequent(x, tokens)[0], percent))
-            n = np.array([len(f) for f in found], np.int64)
-            owners = [np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found or [np.zeros(0, _U)]))), *map(pa.array, owners)], ["part", "cls", "hub"])
+            owners = np.repeat(batch.column(0).to_numpy(), np.array([len(f) for f in found], np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found or [np.zeros(0, _U)]))), pa.array(owners)], ["part", "cls"])
             give_back()
 
     return run
@@ -347,8 +367,7 @@ def _sets(n_gram: int, wanted):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = batch.column(1).to_numpy()
-            part = batch.column(0).filter(pa.array((wanted.value[slots >> 6] >> (slots & 63)) & 1 == 1))
+            part = batch.column(0).filter(_wanted(batch.column(1), wanted.value))
             for at in range(0, len(part), 500):
                 found = list(shingles_of(part.slice(at, 500), n_gram))
                 ends = np.cumsum([0] + [len(x) for x in found], dtype=np.int32)
@@ -456,14 +475,9 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     entries = scratch.cut(short.alias("a").join(short.alias("b"), other & similar, "left_semi").unionByName(entries.where("long")), "entries-with-partner")
     scratch.free("list-entries")
     involved = scratch.cut(entries.select("cls").distinct().join(classes.select("cls", "rep", "n"), "cls"), "involved")
-    slots = min(SLOTS, 1 << max(16, (64 * involved.count()).bit_length()))
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(slots))
-    words = involved.select(slot("rep").alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()  # at most slots / 64 rows
-    bitmap = np.zeros(slots >> 6, np.int64)
-    bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy()
-    texts = slim.where(F.col("ll_id").isNotNull()).select("ll_text", slot("ll_id").alias("slot"))
-    found = texts.mapInArrow(_sets(n_gram, spark.sparkContext.broadcast(bitmap)), "cls long, elements array<long>")
-    sets = scratch.cut(found.join(involved.select("cls"), "cls", "left_semi"), "sets")
+    slots, bits = _bitmap(involved.select("rep"))
+    texts = slim.where(F.col("ll_id").isNotNull()).select("ll_text", _slot("ll_id", slots).alias("slot"))
+    sets = scratch.cut(texts.mapInArrow(_sets(n_gram, spark.sparkContext.broadcast(bits)), "cls long, elements array<long>"), "sets")
     sketches = wide.join(involved.select("cls", "n", "rep"), "cls").groupBy("cls").agg(F.max("n").alias("n"), F.max_by("wide", "n").alias("wide"))
     sketches = scratch.cut(sketches, "wide-sketches")
 
@@ -481,8 +495,10 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     mixed = grouped.where("long").groupBy("token").agg(F.min("hub").alias("x"), F.max("hub").alias("y")).where("x < y").select("token")
     open_ = scratch.cut(open_.unionByName(grouped.where("long").join(mixed, "token", "left_semi").select("cls", "hub")).distinct(), "open-classes")
     scratch.free("entries-with-partner")
-    parts = open_.join(sets, "cls").select("cls", "hub", "elements").mapInArrow(_parts(percent, frequent), "part long, cls long, hub long")
-    meet = _of_several_hubs(parts.repartition(F.col("part"))).distinct().join(classes.select(*sketch), "cls")
+    slots, bits = _bitmap(open_.select("cls"))
+    parts = sets.select("cls", "elements", _slot("cls", slots).alias("slot")).mapInArrow(_parts(percent, frequent, spark.sparkContext.broadcast(bits)), "part long, cls long")
+    meet = _of_several(parts.repartition(F.col("part")), "cls").join(open_, "cls")
+    meet = _of_several(meet, "hub").distinct().join(classes.select(*sketch), "cls")
     meet = scratch.cut(meet, "part-entries-0")
 
     # classes meet the heads of their parts, drawn anew each round, until no link is new; what is then left meets in pairs
@@ -500,7 +516,7 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
         joined = new.join(hubs.select(F.col("cls").alias("a"), F.col("hub").alias("x")), "a").join(hubs.select(F.col("cls").alias("b"), F.col("hub").alias("y")), "b")
         merged = components(joined.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnsRenamed({"node": "hub", "component": "to"})
         rows = meet.join(merged, "hub", "left").withColumn("hub", F.coalesce("to", "hub")).drop("to")
-        meet = scratch.cut(_of_several_hubs(rows), f"part-entries-{nth}")
+        meet = scratch.cut(_of_several(rows, "hub"), f"part-entries-{nth}")
         scratch.free(f"part-entries-{nth - 1}")
     # a pair meets in the list of the smallest part that both have, as far as their first parts tell
     low = meet.groupBy("cls").agg(F.slice(F.array_sort(F.collect_set("part")), 1, FIRST_PARTS).alias("low"))
@@ -515,8 +531,8 @@ def _links(scratch: Scratch, classes: DataFrame, wide: DataFrame, entries: DataF
     return found
 
 
-def _of_several_hubs(rows: DataFrame) -> DataFrame:
-    """The rows of the parts that classes of more than one hub have."""
+def _of_several(rows: DataFrame, column: str) -> DataFrame:
+    """The rows of the parts that have more than one value of ``column``."""
     by_part = Window.partitionBy("part")
-    rows = rows.withColumn("x", F.min("hub").over(by_part)).withColumn("y", F.max("hub").over(by_part))
+    rows = rows.withColumn("x", F.min(column).over(by_part)).withColumn("y", F.max(column).over(by_part))
     return rows.where("x < y").drop("x", "y")
