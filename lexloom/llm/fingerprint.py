@@ -174,16 +174,32 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return docs_fp
 
 
-def op_columns(fps: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def documents_within(fps: DataFrame, asked: Column, *, radius: int = 3, keep: int = 2) -> DataFrame:
+    """For each distinct fingerprint (q_hi, q_lo) of the rows that are ``asked``: how many documents of ``fps``
+    (ll_id, hi, lo) have one within ``radius``, and the smallest id among them. Pairs are of distinct
+    fingerprints; copies are counted, not expanded."""
+    corpus = fps.groupBy(F.col("hi").alias("fp_hi"), F.col("lo").alias("fp_lo")).agg(F.count("*").alias("n"), F.min("ll_id").alias("first"))
+    queries = fps.where(asked).select(F.col("hi").alias("fp_hi"), F.col("lo").alias("fp_lo"))
+    pairs = hamming_search(queries, corpus, radius=radius, keep=keep).join(corpus, ["fp_hi", "fp_lo"])
+    return pairs.groupBy("q_hi", "q_lo").agg(F.sum("n").alias("n_within"), F.min("first").alias("first_within"))
+
+
+def op_columns(fps: DataFrame, id_col: str = "doc_id", *, radius: int = 3, every: int = 100) -> DataFrame:
     """The columns of the query, with the likeness to the next document, whose fingerprint comes from the
-    same table: rows are numbered along the descending order, and row k meets row k + 1."""
+    same table: rows are numbered along the descending order, and row k meets row k + 1. Rows whose id is
+    divisible by ``every`` are queries of the Hamming search against all rows: ``n_within`` documents (itself
+    included) lie within ``radius``, ``first_within`` is the smallest id of them; other rows have null there.
+    """
+    asked = F.col("ll_id") % every == 0
+    near = documents_within(fps, asked, radius=radius)
     sizes = fps.groupBy("ll_bucket").agg(F.max("ll_row").alias("n"))
     down = Window.orderBy(F.desc("ll_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(0))
     offsets = sizes.select("ll_bucket", F.coalesce(F.sum("n").over(down), F.lit(0)).alias("ll_before"), F.sum("n").over(whole).alias("ll_all"))
     rows = fps.join(F.broadcast(offsets), "ll_bucket").withColumn("ll_at", F.col("ll_before") + F.col("ll_row") - 1)
     after = rows.select(F.pmod(F.col("ll_at") - 1, F.col("ll_all")).alias("ll_at"), F.col("hi").alias("n_hi"), F.col("lo").alias("n_lo"))
-    rows = rows.join(after, "ll_at")
+    near = rows.where(asked).select("ll_at", F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo")).join(near, ["q_hi", "q_lo"]).select("ll_at", "n_within", "first_within")
+    rows = rows.join(after, "ll_at").join(near, "ll_at", "left")
     c = F.col
     return rows.select(
         c("ll_id").alias(id_col),
@@ -193,4 +209,6 @@ def op_columns(fps: DataFrame, id_col: str = "doc_id") -> DataFrame:
         as_text(c("e_hi"), c("e_lo")).alias("edited_fingerprint"),
         likeness(c("hi"), c("lo"), c("e_hi"), c("e_lo")).alias("near_edited"),
         likeness(c("hi"), c("lo"), c("n_hi"), c("n_lo")).alias("near_next"),
+        "n_within",
+        "first_within",
     )

@@ -103,3 +103,18 @@ SELECT t.doc_id, len(t.s)::BIGINT AS n_shingles, coalesce(f.component, t.doc_id)
 FROM sets t LEFT JOIN classes c ON len(t.s) > 0 AND c.s = t.s LEFT JOIN found f ON f.node = c.rep
 """
 ORACLES["op5_ngram_jaccard"] = OP5
+
+#: digests of payloads in base32, five hexadecimal digits making four letters
+OP9 = r"""
+WITH slim AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+digests AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(encode(html)) AS h FROM slim),
+named AS (
+  SELECT page_id, n, h, array_to_string(list_transform(range(8), lambda i:
+    array_to_string(list_transform([15, 10, 5, 0], lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 5 * i + 1, 5))::BIGINT >> k) & 31) + 1)::INT, 1)), '')), '') AS digest FROM digests
+),
+firsts AS (SELECT h, min(page_id) AS first FROM named GROUP BY h)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM named JOIN firsts USING (h)
+"""
+ORACLES["op9_warc"] = OP9

@@ -6,19 +6,19 @@ or a known first name).
 
 A value's surrogate comes from a keyed permutation of all values of its own format: letters stay
 letters of their case and script, digits stay digits, vowels of surnames stay vowels, punctuation and
-country code stay, check digits stay valid and public addresses stay public. A permutation gives
+country code stay, check digits are valid and public addresses stay public. A permutation gives
 distinct values distinct surrogates. First names are drawn by key from names of the same gender and
 script. A value gets one surrogate wherever it occurs, however it is written (case of e-mail
 addresses, punctuation of numbers), so mentions of one person stay together.
 
 Collision checks run over the table of all distinct values: a surrogate that two values share, that is
 a value of the corpus, or that is its own value is drawn again with the next attempt number, until
-none is left. Attempts other than the first are few; up to ``broadcast_rows`` of them are broadcast,
+none is left; where a format has too few values, as a name of one letter, the surrogate grows. Attempts other than the first are few; up to ``broadcast_rows`` of them are broadcast,
 more are joined to the documents that need them.
 
 Defined results: a null text stays null with no entities; an empty text stays empty; rows that share
 an id are handled each; a null id is handled like any other; an empty table gives an empty table;
-further columns are carried along.
+further columns are carried along, one named ``pii`` as ``input_pii``.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Carried, cut
 
 #: first names by gender and script, for detection and as surrogates
 FIRST = {
@@ -53,11 +55,12 @@ ALPHABETS = ("aeiouy", "bcdfghjklmnpqrstvwxz", "AEIOUY", "BCDFGHJKLMNPQRSTVWXZ",
 _GENDER = {name: key for key, names in FIRST.items() for name in names}
 _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
 
-_EMAIL = re.compile(r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# begins only where a run of name characters does and never steps back, so long runs cost their length
+_EMAIL = re.compile(r"(?<![A-Za-z0-9_%+-])(?<![A-Za-z0-9_%+-]\.)[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
 _CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
-_PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)")
+_PHONE = re.compile(r"(?<![\w.])(?:\+\d(?:[ .-]?\(\d{1,4}\)|[ .-]?\d){6,14}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)")
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 _KEY = re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp_|sk-|xox[bp]-)[A-Za-z0-9-]{16,}")
 _SECRET = re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?([A-Za-z0-9_+/.=-]{6,})[\"']?")
@@ -67,6 +70,15 @@ _NAME = re.compile(
 )
 
 
+#: calling codes of one and two digits; all others have three
+CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
+
+def code_length(digits: str) -> int:
+    """How many of an international number's digits are its country's."""
+    return next((n for n in (1, 2) if digits[:n] in CODES), 3)
+
+
 @dataclass(frozen=True)
 class Entity:
     start: int
@@ -114,12 +126,12 @@ def find_entities(text: str) -> list[Entity]:
         if first:
             found.append(Entity(*m.span(first), f"first:{'m' if gender == 'u' else gender}:{_script(one)}", one))
         found.append(Entity(*m.span(last), f"last:{_script(m[last])}", m[last]))
-    out, taken = [], []
+    out: list[Entity] = []  # by start, without overlaps
     for e in found:
-        if all(e.end <= a or e.start >= b for a, b in taken):
-            taken.append((e.start, e.end))
-            out.append(e)
-    return sorted(out, key=lambda e: e.start)
+        at = bisect_left(out, e.start, key=lambda x: x.start)
+        if (at == 0 or out[at - 1].end <= e.start) and (at == len(out) or out[at].start >= e.end):
+            out.insert(at, e)
+    return out
 
 
 class Permutation:
@@ -149,7 +161,17 @@ class Permutation:
 
 
 def _alphabet(ch: str, letters: tuple[str, ...]) -> str:
-    return next((a for a in letters if ch in a), ch)
+    return next((a for a in letters if ch in a), None) or _block(ch)
+
+
+@lru_cache(maxsize=4096)
+def _block(ch: str) -> str:
+    """Letters of any other script: those of the same 128 code points that are as ``ch`` capital, small or neither."""
+    kind = unicodedata.category(ch)
+    if kind not in ("Lu", "Ll", "Lo"):
+        return ch
+    first = ord(ch) // 128 * 128
+    return "".join(c for c in map(chr, range(max(first, 128), first + 128)) if unicodedata.category(c) == kind) or ch
 
 
 _PLAIN = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
@@ -168,8 +190,23 @@ def _permute_text(p: Permutation, text: str, letters: tuple[str, ...]) -> str:
     return "".join(reversed(out))
 
 
+#: after so many attempts a surrogate grows by a letter, as its format has too few values
+PATIENCE = 8
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The surrogate of a normalised value, itself normalised."""
+    """The surrogate of a normalised value, itself normalised. Formats of fixed length have room enough; the
+    others grow after many collisions."""
+    out = _surrogate(key, kind, value, attempt)
+    if attempt < PATIENCE or kind in ("card", "ip", "phone", "ssn", "iban"):
+        return out
+    draw = hmac.new(key, f"more|{kind}|{value}|{attempt}".encode(), hashlib.sha256).digest()
+    letters = _alphabet(next((c for c in reversed(value) if c.islower()), "a"), ALPHABETS if kind.startswith(("first", "last")) else _PLAIN)
+    more = "".join(letters[b % len(letters)] for b in draw[: attempt // PATIENCE])
+    return more + out if kind == "email" else out + more
+
+
+def _surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     p = Permutation(key, f"{kind}|{attempt}|{len(value)}")
     if kind == "email":
         name, _, domain = value.partition("@")
@@ -184,7 +221,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         x = p(x, 1 << 32, public if public(x) else lambda y: not public(y))
         return ".".join(str(x >> 8 * (3 - i) & 255) for i in range(4))
     if kind == "phone":
-        keep = 2 if value[0] == "+" else 0
+        keep = 1 + code_length(value[1:]) if value[0] == "+" else 0
         rest, trunk = value[keep:], value[keep] in "01"
         fits = lambda x: (str(x).zfill(len(rest))[0] in "01") == trunk
         return value[:keep] + str(p(int(rest), 10 ** len(rest), fits)).zfill(len(rest))
@@ -194,7 +231,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+", value):
         return "%0*x" % (len(value), p(int(value, 16), 16 ** len(value)))
     if kind == "iban":
-        return value[:2] + _permute_text(p, value[2:], _PLAIN)
+        body = _permute_text(p, value[4:], _PLAIN)
+        return value[:2] + str(98 - int("".join(str(int(c, 36)) for c in body + value[:2] + "00")) % 97).zfill(2) + body
     if kind.startswith("first:"):
         names = FIRST[kind.removeprefix("first:")]
         draw = hmac.new(key, f"{kind}|{value}|{attempt}".encode(), hashlib.sha256).digest()
@@ -208,7 +246,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
 def render(mention: str, kind: str, new: str) -> str:
     """The normalised surrogate ``new`` in the format of a mention."""
     if kind == "email":
-        return "".join(n.upper() if o.isupper() else n for o, n in zip(mention, new))
+        return "".join(n.upper() if o.isupper() else n for o, n in zip(mention.ljust(len(new)), new))
     if kind in ("card", "ssn", "phone", "iban"):
         fresh = iter(new.removeprefix("+"))
         return "".join(next(fresh) if ch.isalnum() else ch for ch in mention)
@@ -287,18 +325,19 @@ def _values_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def replace_pii(docs: DataFrame, text_col: str = "text", *, key: bytes, broadcast_rows: int = 100_000) -> DataFrame:
     """``docs`` with ``text_col`` replaced and a struct column ``pii``: text, n_entities, and the entities
     with kind, start and end in the old text, and surrogate (never the old value)."""
-    spark = docs.sparkSession
+    spark, carried = docs.sparkSession, Carried(docs, "pii")
+    text = carried.name(text_col)
     assigned = assign(docs.select(text_col).mapInArrow(_values, "kind string, value string"), key)
     later = assigned.where("attempt > 0").select("kind", "value", "attempt")
     n, none = later.count(), F.lit(None).cast("array<struct<kind: string, value: string, attempt: int>>")
     if n <= broadcast_rows:
         shared = spark.sparkContext.broadcast({(r["kind"], r["value"]): r["attempt"] for r in later.collect()})
-        rows = docs.withColumn("ll_own", none)
+        rows = carried.df.withColumn("ll_own", none)
     else:
         shared = spark.sparkContext.broadcast({})
-        hashed = docs.withColumn("ll_hash", F.xxhash64(text_col))
-        mine = hashed.select("ll_hash", text_col).mapInArrow(_values_by_row, "ll_hash long, kind string, value string").distinct()
+        hashed = carried.df.withColumn("ll_hash", F.xxhash64(text))
+        mine = hashed.select("ll_hash", text).mapInArrow(_values_by_row, "ll_hash long, kind string, value string").distinct()
         mine = mine.join(later, ["kind", "value"]).groupBy("ll_hash").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("ll_own"))
         rows = hashed.join(mine, "ll_hash", "left")
-    rows = rows.withColumn("pii", _replaced(key, shared)(F.col(text_col), F.col("ll_own")))
-    return rows.select(*[F.col("pii.text").alias(c) if c == text_col else F.col(c) for c in docs.columns], "pii")
+    rows = rows.withColumn("pii", _replaced(key, shared)(F.col(text), F.col("ll_own")))
+    return rows.select(*carried.back(**{text_col: F.col("pii.text")}), "pii")

@@ -83,10 +83,24 @@ def write_warc(records: DataFrame, path: str, *, records_per_file: int = 1000) -
     records.select("value").write.option("lineSep", CRLF).option("maxRecordsPerFile", records_per_file).text(path)
 
 
-_FIELD = re.compile(rb"([!-9;-~]+):[ \t]*([^\r\n]*)\r?\n")
+_FIELD = re.compile(rb"([!-9;-~]+):[ \t]*([^\r\n]*(?:\r?\n[ \t]+[^\r\n]*)*)\r?\n")
+_FOLD = re.compile(rb"\r?\n[ \t]+")
+_EMPTY = re.compile(rb"\r?\n")
 _START = re.compile(rb"WARC/1\.[01]\r?\n|\x1f\x8b\x08")
 _VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 _ID = re.compile(rb"<urn:x-page:(-?\d+)>")
+_CHUNK = 1 << 16
+
+
+def _differs(digest: bytes, content: bytes) -> bool:
+    """Whether a labelled digest is not that of ``content``; one of an algorithm not known here says nothing.
+    Bare digests are SHA-1."""
+    label, _, value = digest.rpartition(b":")
+    name = (label or b"sha1").lower().replace(b"-", b"").decode("ascii", "replace")
+    if not value or name not in ("sha1", "sha256", "sha512", "md5"):
+        return False
+    found = hashlib.new(name, content, usedforsecurity=False).digest()
+    return value.upper().rstrip(b"=") not in (base64.b32encode(found).rstrip(b"="), found.hex().upper().encode())
 
 
 def _record(data: bytes, at: int) -> tuple[dict | None, int, str]:
@@ -95,9 +109,9 @@ def _record(data: bytes, at: int) -> tuple[dict | None, int, str]:
         return None, at, "no version line"
     fields, pos = {}, m.end()
     while m := _FIELD.match(data, pos):
-        fields[m[1].lower()] = m[2].strip()
+        fields[m[1].lower()] = _FOLD.sub(b" ", m[2]).strip()
         pos = m.end()
-    if not (m := re.compile(rb"\r?\n").match(data, pos)):
+    if not (m := _EMPTY.match(data, pos)):
         return None, at, "broken header"
     begin = m.end()
     if not fields.get(b"content-length", b"").isdigit():
@@ -107,16 +121,19 @@ def _record(data: bytes, at: int) -> tuple[dict | None, int, str]:
         return None, at, "broken framing"
     block = data[begin:end]
     head, found, payload = block.partition(b"\r\n\r\n")
-    kind, digest = fields.get(b"warc-type", b""), fields.get(b"warc-payload-digest", b"").removeprefix(b"sha1:")
-    if kind == b"response":
-        if not found:
-            return None, at, "no HTTP head"
-        if digest and base64.b32encode(hashlib.sha1(payload).digest()) != digest:
-            return None, at, "digest differs"
-    elif kind == b"revisit":
+    kind, digest = fields.get(b"warc-type", b""), fields.get(b"warc-payload-digest", b"")
+    http = kind in (b"response", b"request") and b"http" in fields.get(b"content-type", b"http").lower()
+    if kind == b"revisit":
         payload = None
-    else:
+    elif not http:
         payload = block
+    elif not found:
+        return None, at, "no HTTP head"
+    if payload is not None and _differs(digest, payload):
+        return None, at, "digest differs"
+    if _differs(fields.get(b"warc-block-digest", b""), block):
+        return None, at, "block digest differs"
+    digest = digest.removeprefix(b"sha1:")
     length = len(payload) if payload is not None else None
     if length is None and (m := re.search(rb"(?im)^content-length:[ \t]*(\d+)", head)):
         length = int(m[1])
@@ -128,20 +145,25 @@ def _record(data: bytes, at: int) -> tuple[dict | None, int, str]:
 
 def _member(data: bytes, at: int) -> tuple[list[dict], int, str]:
     """The records of the gzip member at ``at``; none if it is damaged."""
-    z = zlib.decompressobj(31)
-    try:
-        plain = z.decompress(data[at:])
+    z, parts, pos = zlib.decompressobj(31), [], at
+    view = memoryview(data)
+    try:  # in chunks, so what follows the member is neither copied nor unpacked
+        while not z.eof and pos < len(data):
+            chunk = view[pos : pos + _CHUNK]
+            parts.append(z.decompress(chunk))
+            pos += len(chunk)
     except zlib.error as e:
         return [], at, f"gzip: {e}"
     if not z.eof:
         return [], at, "gzip: cut short"
+    plain, after = b"".join(parts), pos - len(z.unused_data)
     found, pos = [], 0
     while pos < len(plain):
         got, pos, why = _record(plain, pos)
         if why:
             return [], at, why
         found.append(got)
-    return found, len(data) - len(z.unused_data), ""
+    return found, after, ""
 
 
 def salvage(data: bytes) -> Iterator[dict]:

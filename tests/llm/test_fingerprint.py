@@ -86,3 +86,17 @@ def test_search_finds_all_within_the_radius(spark, radius, keep):
         if apart(a, b) <= radius:
             want[(*a, *b)] = want[(*b, *a)] = apart(a, b)
     assert got == want
+
+
+def test_query_counts_documents_within_the_radius(spark):
+    rng = random.Random(9)
+    base = " ".join(f"word{rng.randrange(5000)}" for _ in range(400))
+    rows = [(i, base if i % 3 else base + " more") for i in range(0, 900, 10)] + [(i, f"own text {i} " * 5) for i in range(1, 40)] + [(1000, None), (1100, ""), (None, base)]
+    out = S.op_columns(cut(S.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")), "fps")).collect()
+    far = lambda a, b: (int(a["fingerprint"], 16) ^ int(b["fingerprint"], 16)).bit_count()
+    for r in out:
+        within = [x for x in out if far(r, x) <= 3]
+        if r["doc_id"] is not None and r["doc_id"] % 100 == 0:
+            assert (r["n_within"], r["first_within"]) == (len(within), min(x["doc_id"] for x in within if x["doc_id"] is not None))
+        else:
+            assert r["n_within"] is None and r["first_within"] is None

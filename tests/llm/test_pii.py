@@ -122,3 +122,38 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert len({r["surrogate"] for r in rows}) == len(rows) and all(r["surrogate"] != r["value"] for r in rows)
     assert any(r["attempt"] > 0 for r in rows)
     assert P.assign(values.where(F.lit(False)), KEY).count() == 0
+
+
+@pytest.mark.parametrize("text", ["Dr. 李 came", "Mr. Ωé", "Mme Ñé", "Dr. Åé spoke", "sk-" + "-" * 16 + " 1", "Mr. X and Mr. Y", "Frau Ёё"])
+def test_any_script_gets_a_surrogate(spark, text):
+    out = P.replace_pii(spark.createDataFrame([(text, "own")], "text string, pii string"), key=KEY).first()
+    assert out["pii"]["n_entities"] >= 1 and out["text"] != text and out["input_pii"] == "own"
+
+
+def test_more_names_than_a_format_has(spark):
+    names = [c for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    rows = P.assign(spark.createDataFrame([("last:latin", n) for n in names], "kind string, value string"), KEY).collect()
+    assert len({r["surrogate"] for r in rows}) == len(names) and not {r["surrogate"] for r in rows} & set(names)
+
+
+@pytest.mark.parametrize(("number", "code"), [("+33123456789", "+33"), ("+14645550476", "+1"), ("+351210000000", "+351"), ("+79161234567", "+7")])
+def test_country_codes_stay(number, code):
+    assert all(P.surrogate(KEY, "phone", number, a).startswith(code) for a in range(4))
+    assert len(P.surrogate(KEY, "phone", number)) == len(number)
+
+
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "GB29NWBK60161331926819", "FR1420041010050500013M02606"])
+def test_ibans_are_valid(iban):
+    new = P.surrogate(KEY, "iban", iban)
+    assert new[:2] == iban[:2] and len(new) == len(iban) and new != iban
+    assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    text = "a" * 500_000 + " x@ " + "b.c" * 200_000 + "@ me@example.com " + "1.2.3.4 " * 20_000
+    found = P.find_entities(text)
+    assert sum(e.kind == "email" for e in found) == 1 and sum(e.kind == "ip" for e in found) == 20_000
+    assert time.perf_counter() - began < 20

@@ -31,14 +31,15 @@ def test_query_runs(spark, name):
     assert out.count() > 0
 
 
-@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_ngram_jaccard", "op10_mixing"])
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_ngram_jaccard", "op9_warc", "op10_mixing"])
 def test_query_agrees_with_sql(spark, name):
     import duckdb
 
     import __spark_entry__ as entry
 
     db = duckdb.connect()
-    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name_ in ("documents", "pages"):
+        db.sql(f"CREATE VIEW {name_} AS SELECT * FROM '{SF}/{name_}.parquet'")
     out = entry.queries()[name](spark, SF)
     columns = sorted(out.columns)
     want = db.sql(entry.oracle_sql()[name])

@@ -102,3 +102,27 @@ def test_base32_column(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", W.base32_of_sha1(F.sha1("t")).alias("d")).collect()
     assert all(r["d"] == digest(r["t"]) for r in rows)
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_digests_of_other_algorithms_and_folded_headers():
+    body = b"z" * 700
+    sha256 = hashlib.sha256(body).hexdigest().encode()
+
+    def record(extra):
+        return b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:1>\r\n" + extra + b"Content-Length: 700\r\n\r\n" + body + b"\r\n\r\n"
+
+    good = [b"", b"X-Long: a\r\n  b\r\n\tc\r\n", b"WARC-Payload-Digest: sha256:" + sha256 + b"\r\n", b"WARC-Block-Digest: sha-256:" + sha256.upper() + b"\r\n", b"WARC-Payload-Digest: blake9:abc\r\n"]
+    good += [b"WARC-Payload-Digest: md5:" + base64.b32encode(hashlib.md5(body).digest()).rstrip(b"=") + b"\r\n"]
+    bad = [b"WARC-Payload-Digest: sha256:" + sha256[:-1] + b"0" + b"\r\n" if sha256[-1:] != b"0" else b"WARC-Payload-Digest: sha256:1\r\n", b"WARC-Block-Digest: sha1:AAAA\r\n"]
+    assert [[x["kind"] for x in W.salvage(record(g))] for g in good] == [["record"]] * len(good)
+    assert [[x["kind"] for x in W.salvage(record(b))] for b in bad] == [["gap"]] * len(bad)
+
+
+def test_many_gzip_members_take_linear_time():
+    import time
+
+    rng = random.Random(3)
+    member = [gzip.compress(b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 9000\r\n\r\n" + rng.randbytes(9000) + b"\r\n\r\n", 1) for _ in range(50)]
+    began = time.perf_counter()
+    assert sum(x["kind"] == "record" for x in W.salvage(b"".join(member) * 120)) == 6000
+    assert time.perf_counter() - began < 15
