@@ -1,7 +1,7 @@
 """Queries over affix expansion, dictionary filtering, word forms and assembly, each with DuckDB SQL.
 
 The dictionaries are made of the documents' own short words; rules are a small fixed table. Compounds, flags,
-pruning and exports run over words of every length; their SQL still holds short words only.
+pruning and exports run over words of every length.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..operators import affix, assembly, compound, filtering, wordforms
 from ..operators import tokens as O
+from ..operators.materialise import cut
 from . import sql as S
 from .common import add
 from .queries_text import conversation_tokens, doc_tokens
@@ -40,7 +41,7 @@ def all_forms(spark, tokens: DataFrame) -> DataFrame:
 
 @query(S.statement(*S.AFFIX, select="SELECT DISTINCT t.lang, t.token FROM tok t WHERE NOT EXISTS (SELECT 1 FROM forms f WHERE f.lang = t.lang AND f.form = lower(t.token))"))
 def neologisms_by_lang(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir)
+    tokens = cut(doc_tokens(spark, sf_dir), "tokens")
     forms = filtering.dictionary_forms(dictionary(tokens), rule_table(spark), keys=["lang"])
     return filtering.remove_known(tokens.select("lang", "token").distinct(), forms, keys=["lang"]).select("lang", "token")
 
@@ -72,7 +73,7 @@ def affix_expansion_chained(spark, sf_dir):
      OR EXISTS (SELECT 1 FROM entries e, rules r, rules p WHERE e.lang = 'de' AND r.lang = 'de' AND r.kind = 'SFX' AND p.lang = 'de' AND p.kind = 'PFX' AND ends_with(e.base, r.strip) AND (r.cond = '.' OR regexp_matches(e.base, '(?:' || r.cond || ')$'))
         AND p.addn || left(e.base, length(e.base) - length(r.strip)) || r.addn = lower(t.token))"""))
 def reverse_lookup(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir)
+    tokens = cut(doc_tokens(spark, sf_dir), "tokens")
     words = tokens.where("lang = 'de'").select(F.lower("token").alias("token_lower"))
     return affix.known_by_reverse_lookup(words, dictionary(tokens).where("lang = 'de'"), rule_table(spark, "de"), base="base_lower")
 
@@ -89,29 +90,29 @@ def audits(spark, tokens: DataFrame) -> DataFrame:
 
 @query(S.statement(*S.AFFIX, _AUDIT, select="SELECT lang, token, token_lower, '' AS tb_key, status, match_type FROM audit"))
 def filter_audit(spark, sf_dir):
-    return audits(spark, doc_tokens(spark, sf_dir))
+    return audits(spark, cut(doc_tokens(spark, sf_dir), "tokens"))
 
 
 @query(S.statement(*S.AFFIX, _AUDIT, select="SELECT lang, count(*) AS tokens, count(*) FILTER (WHERE status = 'kept_neologism') AS kept, count(*) FILTER (WHERE status <> 'kept_neologism') AS removed, round(count(*) FILTER (WHERE status <> 'kept_neologism') * 100.0::DOUBLE / count(*), 6) AS removal_rate FROM audit GROUP BY 1"))
 def filter_summary(spark, sf_dir):
-    return filtering.filter_summary(audits(spark, doc_tokens(spark, sf_dir)), keys=["lang"])
+    return filtering.filter_summary(audits(spark, cut(doc_tokens(spark, sf_dir), "tokens")), keys=["lang"])
 
 
 @query(S.statement(*S.AFFIX, _AUDIT, select="""SELECT token, CASE WHEN bool_or(status = 'kept_neologism') THEN 'kept_neologism' ELSE 'removed_known_word' END AS status,
   CASE WHEN bool_or(match_type <> '') THEN 'exact_or_affix' ELSE '' END AS match_type, array_to_string(list_sort(list(DISTINCT lang)), ' | ') AS tb_key FROM audit GROUP BY 1"""))
 def merged_audits(spark, sf_dir):
-    rows = audits(spark, doc_tokens(spark, sf_dir)).withColumn("tb_key", F.col("lang"))
+    rows = audits(spark, cut(doc_tokens(spark, sf_dir), "tokens")).withColumn("tb_key", F.col("lang"))
     return filtering.merge_audits(rows, F.col("lang"))
 
 
 _ROLES = """begins AS (SELECT DISTINCT base AS form FROM entries WHERE lang = 'de'), ends AS (SELECT DISTINCT form FROM forms WHERE lang = 'de'),
-words AS MATERIALIZED (SELECT DISTINCT lower(token) AS w FROM tok WHERE lang = 'de' AND length(token) <= 16)"""
+words AS MATERIALIZED (SELECT DISTINCT lower(token) AS w FROM tok WHERE lang = 'de')"""
 
 
 @query(S.statement(*S.AFFIX, _ROLES, select="""SELECT DISTINCT w AS token_lower, l AS head, r AS tail FROM (SELECT w, left(w, i) AS l, substr(w, i + 1) AS r FROM (SELECT w, unnest(range(3, length(w) - 2)) AS i FROM words WHERE length(w) >= 6))
   WHERE l IN (SELECT form FROM begins) AND r IN (SELECT form FROM ends)"""))
 def two_part_compounds(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir)
+    tokens = cut(doc_tokens(spark, sf_dir), "tokens")
     entries = dictionary(tokens).where("lang = 'de'")
     forms = affix.expand(entries, rule_table(spark, "de"), word="base_lower")
     words = tokens.where("lang = 'de'").select(F.lower("token").alias("token_lower")).distinct()
@@ -134,7 +135,7 @@ _SPLIT2 = "SELECT w, left(w, i) AS l, substr(w, i + 1) AS r FROM (SELECT w, unne
   done1 AS (SELECT DISTINCT w FROM open1 WHERE l IN (SELECT form FROM begins) OR l IN (SELECT w FROM done2))""",
   select="SELECT DISTINCT w AS token_lower FROM open_ WHERE l IN (SELECT form FROM begins) OR l IN (SELECT w FROM done1)"))
 def recursive_compounds(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir).where("lang = 'de'").persist()
+    tokens = cut(doc_tokens(spark, sf_dir).where("lang = 'de'"), "tokens")
     entries = dictionary(tokens).where("lang = 'de'")
     forms = affix.expand(entries, rule_table(spark, "de"), word="base_lower").select("form").distinct()
     roles = entries.select(F.col("base_lower").alias("form"), F.lit("begin").alias("role")).unionByName(forms.select("form", F.lit("end").alias("role"))).distinct()
@@ -164,8 +165,8 @@ def gender_ghosts(spark, sf_dir):
 _HITS = """hits AS MATERIALIZED (SELECT f.base, f.form, unnest(c.spellings) AS spelling FROM forms f JOIN cases c ON c.lang = f.lang AND c.low = f.form WHERE f.lang = 'de' AND f.form <> f.base)"""
 
 
-def _german(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir)
+def _german(spark, sf_dir, tokens: DataFrame | None = None):
+    tokens = cut(doc_tokens(spark, sf_dir), "tokens") if tokens is None else tokens
     cases = O.case_map(tokens.where("lang = 'de'").select("token"), keys=[])
     words = dictionary(tokens).where("lang = 'de'").select(F.col("base_lower").alias("base_word"))
     return words, rule_table(spark, "de"), cases
@@ -198,16 +199,16 @@ def flag_quorum(spark, sf_dir):
     return rows.select("base_lower", "flag", "derived_count", "hit_count", "hit_ratio", "passed")
 
 
-_LEFT = "kept AS MATERIALIZED (SELECT DISTINCT token FROM tok WHERE lang = 'de' AND length(token) BETWEEN 3 AND 5)"
+_LEFT = "kept AS MATERIALIZED (SELECT DISTINCT token FROM tok WHERE lang = 'de')"
 _ASSIGN = """validated AS (SELECT base_lower, list(flag) AS fl FROM quorum WHERE passed AND flag IN ('N', 'U') GROUP BY 1),
 assigned AS MATERIALIZED (SELECT k.token, list_sort(list_distinct(list_concat(['U'], coalesce(flatten(list(v.fl)), [])))) AS flags FROM kept k LEFT JOIN validated v
   ON v.base_lower IN (k.token, lower(k.token), upper(k.token[1]) || substr(k.token, 2)) GROUP BY 1)"""
 
 
 def _flags(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir)
+    tokens = cut(doc_tokens(spark, sf_dir), "tokens")
     kept = tokens.where("lang = 'de'").select("token").distinct()
-    words, rules, cases = _german(spark, sf_dir)
+    words, rules, cases = _german(spark, sf_dir, tokens)
     out = wordforms.corpus_wordforms(words, rules, cases, lang="de", flags=["N", "U"], quorum=0.5)
     return kept, assembly.assign_flags(kept, out, ["U"]), rules
 
@@ -229,26 +230,26 @@ made AS MATERIALIZED (SELECT f.token AS source, r.kind, CASE r.kind WHEN 'SFX' T
   WHERE (r.kind = 'SFX' AND ends_with(f.token, strip) AND (cond = '.' OR regexp_matches(f.token, '(?:' || cond || ')$'))) OR (r.kind = 'PFX' AND starts_with(f.token, strip)))"""
 
 
-@query(S.statement(*_ONE, _QUORUM, "kept AS MATERIALIZED (SELECT DISTINCT token FROM tok WHERE lang = 'de' AND length(token) BETWEEN 3 AND 9)", _ASSIGN.replace("['U']", "[]::VARCHAR[]"), _GENERATED,
+@query(S.statement(*_ONE, _QUORUM, "kept AS MATERIALIZED (SELECT DISTINCT token FROM tok WHERE lang = 'de')", _ASSIGN.replace("['U']", "[]::VARCHAR[]"), _GENERATED,
   select="SELECT m.form, array_to_string(list_sort(list(DISTINCT m.source)), ' | ') AS sources FROM made m JOIN assigned a ON a.token = m.form AND len(a.flags) = 0 WHERE m.form <> m.source GROUP BY 1"))
 def redundancy_prune(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir)
+    tokens = cut(doc_tokens(spark, sf_dir), "tokens")
     kept = tokens.where("lang = 'de'").select("token").distinct()
-    words, rules, cases = _german(spark, sf_dir)
+    words, rules, cases = _german(spark, sf_dir, tokens)
     out = wordforms.corpus_wordforms(words, rules, cases, lang="de", flags=["N", "U"], quorum=0.5)
-    assigned = assembly.assign_flags(kept, out, [])
+    assigned = cut(assembly.assign_flags(kept, out, []), "assigned")
     generated = assembly.generated_by_flags(assigned, rules)
     pruned = assembly.redundant_forms(kept.withColumnRenamed("token", "form"), assigned, generated)
     return pruned.select("form", F.array_join("sources", " | ").alias("sources"))
 
 
-_CASING = """base AS MATERIALIZED (SELECT DISTINCT lang, token FROM tok WHERE doc_id % 2 = 0), seen AS MATERIALIZED (SELECT DISTINCT lang, token FROM tok WHERE doc_id % 2 = 1 AND token = lower(token))"""
+_CASING = f"""base AS MATERIALIZED (SELECT DISTINCT token FROM tok WHERE lang = 'de'), seen AS MATERIALIZED (SELECT DISTINCT token FROM (SELECT unnest({S.tokens('text')}) AS token FROM conversations) WHERE token = lower(token))"""
 
 
-@query(S.statement(S.TOK, _CASING, select="""SELECT b.token AS original, lower(b.token) AS inferred_lower, 'corpus_exact_lower' AS source FROM (SELECT token FROM base WHERE lang = 'de') b
-  WHERE b.token[1] = upper(b.token[1]) AND b.token[1] <> lower(b.token[1]) AND b.token <> lower(b.token) AND lower(b.token) NOT IN (SELECT token FROM base WHERE lang = 'de') AND lower(b.token) IN (SELECT token FROM seen WHERE lang = 'de')"""))
+@query(S.statement(S.TOK, _CASING, select="""SELECT token AS original, lower(token) AS inferred_lower, 'corpus_exact_lower' AS source FROM base
+  WHERE token[1] = upper(token[1]) AND token[1] <> lower(token[1]) AND token <> lower(token) AND lower(token) NOT IN (SELECT token FROM base) AND lower(token) IN (SELECT token FROM seen)"""))
 def casing_inference(spark, sf_dir):
-    # all German documents stand for the dictionary, all conversations for the corpus; the SQL still takes halves of the documents
+    # all German documents stand for the dictionary, all conversations for the corpus
     base = doc_tokens(spark, sf_dir).where("lang = 'de'").select("token").distinct()
     seen = conversation_tokens(spark, sf_dir).where("token = lower(token)").select(F.col("token").alias("form"))
     return assembly.infer_casing(base, seen)
@@ -256,7 +257,7 @@ def casing_inference(spark, sf_dir):
 
 @query(S.statement(*S.AFFIX, _AUDIT, select="SELECT DISTINCT token AS form FROM tok WHERE lang = 'fr' AND lower(token) NOT IN (SELECT token_lower FROM audit WHERE lang = 'fr' AND status = 'removed_known_word')"))
 def rebound_guard(spark, sf_dir):
-    tokens = doc_tokens(spark, sf_dir)
+    tokens = cut(doc_tokens(spark, sf_dir), "tokens")
     checked = audits(spark, tokens).where("lang = 'fr'")
     return assembly.guard_known_words(tokens.where("lang = 'fr'").select(F.col("token").alias("form")).distinct(), checked)
 
@@ -267,7 +268,7 @@ def representative_surface(spark, sf_dir):
     return assembly.representative_surface(doc_tokens(spark, sf_dir).select("lang", F.col("token").alias("word")), keys=["lang"])
 
 
-_EXPORTS = "exports AS MATERIALIZED (SELECT DISTINCT lang, source AS game, token AS word, substr(source, 4) AS flag FROM tok WHERE length(token) <= 6)"
+_EXPORTS = "exports AS MATERIALIZED (SELECT DISTINCT lang, source AS game, token AS word, substr(source, 4) AS flag FROM tok)"
 
 
 @query(S.statement(S.TOK, _EXPORTS, select="SELECT lang, word, array_to_string(list_sort(list(DISTINCT flag)), ',') AS flags, array_to_string(list_sort(list(DISTINCT game)), ' | ') AS sources FROM exports GROUP BY 1, 2"))

@@ -23,12 +23,12 @@ _REPORT = """report AS MATERIALIZED (SELECT game, language, token, lower(token)
   CASE WHEN ends_with(token, 'n') THEN ['N', 'U'] WHEN ends_with(token, 'e') THEN ['S'] ELSE []::VARCHAR[] END AS assigned_flags, [lower(token)] AS source_base_words,
   CASE WHEN length(token) % 4 = 0 THEN 'kept_neologism' WHEN length(token) % 4 = 1 THEN 'removed_known_word' ELSE '' END AS filter_status,
   CASE WHEN length(token) % 4 = 1 THEN 'exact_or_affix' ELSE '' END AS filter_match_type
-  FROM (SELECT DISTINCT source AS game, lang AS language, token FROM tok WHERE length(token) <= 8))"""
+  FROM (SELECT DISTINCT source AS game, lang AS language, token FROM tok))"""
 _WITH = (S.TOK, _REPORT)
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tokens of the documents; the SQL still holds those of at most 8 characters only."""
+    """All tokens of the documents."""
     rows = doc_tokens(spark, sf_dir).select(F.col("source").alias("game"), F.col("lang").alias("language"), "token").distinct()
     n, t = F.char_length("token"), F.col("token")
     texts = lambda *xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
@@ -113,12 +113,13 @@ def csv_report(spark, sf_dir):
     return reports.csv_report(report(spark, sf_dir)).select("game", "token", "lineage_tags", "assigned_flags", "in_tb_tokens", "flag_evidence_summary")
 
 
-_RUNS = """runs AS (SELECT token[1:3] AS base_word, list(DISTINCT token) FILTER (WHERE doc_id % 3 <> 0) AS a, list(DISTINCT token) FILTER (WHERE doc_id % 3 <> 1) AS b FROM tok WHERE lang = 'es' GROUP BY 1),
+_RUNS = f"""said AS MATERIALIZED (SELECT unnest({S.tokens('text')}) AS token FROM conversations),
+runs AS (SELECT base_word, a, b FROM (SELECT substr(token, 1, 3) AS base_word, list(DISTINCT token) AS a FROM tok GROUP BY 1) FULL JOIN (SELECT substr(token, 1, 3) AS base_word, list(DISTINCT token) AS b FROM said GROUP BY 1) USING (base_word)),
 diff AS (SELECT base_word, list_sort(list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(b, []), x))) AS lost, list_sort(list_filter(coalesce(b, []), lambda x: NOT list_contains(coalesce(a, []), x))) AS gained, list_sort(list_filter(coalesce(a, []), lambda x: list_contains(coalesce(b, []), x))) AS kept FROM runs)"""
 
 
 def _diff(spark, sf_dir) -> DataFrame:
-    # all documents are the old run, all conversations the new one; the SQL still takes parts of the Spanish documents
+    # all documents are the old run, all conversations the new one
     of = lambda tokens: tokens.groupBy(F.substring("token", 1, 3).alias("base_word")).agg(F.collect_set("token").alias("found_forms"))
     return wordforms.diff_wordforms(of(doc_tokens(spark, sf_dir)), of(conversation_tokens(spark, sf_dir)))
 
