@@ -9,7 +9,7 @@ from ..operators import assembly, language, reports, wordforms
 from ..operators.materialise import cut
 from . import sql as S
 from .common import add, load
-from .queries_text import conversation_tokens, doc_tokens, glossary
+from .queries_text import GLOSSARY, TERM_TOKENS, conversation_tokens, doc_tokens, glossary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -178,7 +178,64 @@ def _pair(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     return tokens, rows, words, dictionary(tokens).drop("lang")
 
 
-@query(None)
+_DERIVED = """SELECT w.{key}, r.flag, r.kind, CASE r.kind WHEN 'SFX' THEN left(w.{word}, length(w.{word}) - length(strip)) || addn ELSE addn || substr(w.{word}, length(strip) + 1) END AS form
+  FROM {source} w JOIN rules r ON r.lang = 'de'{on} WHERE (r.kind = 'SFX' AND ends_with(w.{word}, strip) AND (cond = '.' OR regexp_matches(w.{word}, '(?:' || cond || ')$')))
+     OR (r.kind = 'PFX' AND starts_with(w.{word}, strip) AND (cond = '.' OR regexp_matches(w.{word}, '^(?:' || cond || ')')))"""
+#: the German pair from its tokens to its report: audit, word forms and quorum, assembly
+_PAIR = (
+    "vocabulary AS MATERIALIZED (SELECT token FROM tok WHERE lang = 'de' UNION SELECT token FROM terms)",
+    "keyed AS (SELECT lower(token) AS low, list_sort(list(DISTINCT trim(key))) AS keys FROM terms WHERE tracked AND trim(key) <> '' GROUP BY 1)",
+    """checked AS MATERIALIZED (SELECT v.token, lower(v.token) AS low, f.form IS NULL AS is_new, coalesce(k.keys, []) AS keys FROM vocabulary v
+      LEFT JOIN (SELECT DISTINCT form FROM forms WHERE lang = 'de') f ON f.form = lower(v.token) LEFT JOIN keyed k ON k.low = lower(v.token))""",
+    "kept AS MATERIALIZED (SELECT token, low FROM checked WHERE is_new)",
+    "lowers AS MATERIALIZED (SELECT DISTINCT low AS base FROM kept)",
+    f"derived AS MATERIALIZED ({_DERIVED.format(key='base', word='base', source='lowers', on='')})",
+    "prefixed AS (SELECT d.base, p.addn || d.form AS form FROM derived d JOIN rules p ON p.lang = 'de' AND p.kind = 'PFX' AND d.kind = 'SFX' WHERE p.cond = '.' OR regexp_matches(d.form, '^(?:' || p.cond || ')'))",
+    "spelled AS MATERIALIZED (SELECT lower(token) AS low, list_sort(list(DISTINCT token)) AS spellings FROM tok WHERE lang = 'de' GROUP BY 1)",
+    "hits AS (SELECT base, list_sort(list(DISTINCT spelling)) AS found FROM (SELECT m.base, unnest(c.spellings) AS spelling FROM (SELECT base, form FROM derived UNION SELECT base, form FROM prefixed) m JOIN spelled c ON c.low = m.form WHERE m.form <> m.base) GROUP BY 1)",
+    """tested AS (SELECT d.base, d.flag, count(*) AS n, count(c.low) AS hits FROM (SELECT DISTINCT base, flag, form FROM derived WHERE flag IN ('N', 'U') AND form <> base) d LEFT JOIN spelled c ON c.low = d.form GROUP BY 1, 2)""",
+    """proof AS (SELECT base, coalesce(list(flag ORDER BY flag) FILTER (WHERE hits > 0 AND hits / n >= 0.5), []) AS valid, list(flag || ':' || hits || '/' || n ORDER BY flag) AS evidence FROM tested GROUP BY 1)""",
+    """found AS MATERIALIZED (SELECT k.token AS base_word, coalesce(h.found, []) AS found, coalesce(p.valid, []) AS valid, coalesce(p.evidence, []) AS evidence
+      FROM kept k LEFT JOIN hits h ON h.base = k.low LEFT JOIN proof p ON p.base = k.low WHERE len(coalesce(h.found, [])) + len(coalesce(p.valid, [])) > 0)""",
+    "sprung AS MATERIALIZED (SELECT base_word, unnest(found) AS form FROM found)",
+    "removed AS (SELECT DISTINCT low FROM checked WHERE NOT is_new)",
+    """confirmed AS MATERIALIZED (SELECT form, tag, parent FROM (SELECT token AS form, 'tb_filtered_base' AS tag, token AS parent FROM kept UNION SELECT form, 'corpus_aff_form', base_word FROM sprung) WHERE lower(form) NOT IN (SELECT low FROM removed))""",
+    """casing AS (SELECT token AS original, low AS inferred FROM kept WHERE token[1] = upper(token[1]) AND token[1] <> lower(token[1]) AND token <> low AND low NOT IN (SELECT token FROM kept) AND low IN (SELECT form FROM sprung))""",
+    "everything AS MATERIALIZED (SELECT * FROM confirmed UNION SELECT inferred, 'casing_inference', original FROM casing)",
+    "entries2 AS (SELECT token FROM kept UNION SELECT inferred FROM casing)",
+    """assigned AS MATERIALIZED (SELECT e.token, list_sort(list_distinct(list_concat(['U'], coalesce(flatten(list(f.valid)), [])))) AS flags FROM entries2 e LEFT JOIN found f
+      ON f.base_word IN (e.token, lower(e.token), upper(e.token[1]) || substr(e.token, 2)) GROUP BY 1)""",
+    "flagged AS (SELECT token, unnest(flags) AS own FROM assigned)",
+    f"generated AS (SELECT token AS source, form FROM ({_DERIVED.format(key='token', word='token', source='flagged', on=' AND r.flag = w.own')}))",
+    "dropped AS (SELECT DISTINCT form FROM generated WHERE form NOT IN (SELECT token FROM assigned))",
+    "built AS (SELECT form AS token, list_sort(list(DISTINCT tag)) AS tags, list_sort(list(DISTINCT parent)) AS parents FROM everything WHERE form NOT IN (SELECT form FROM dropped) GROUP BY 1)",
+    """by_base AS (SELECT token, list(nth ORDER BY nth) AS nths, flatten(list(ks ORDER BY nth)) AS keys, flatten(list(es ORDER BY nth)) AS evidence FROM (
+      SELECT b.token, b.nth, coalesce(c.keys, []) AS ks, coalesce(list_transform(f.evidence, lambda x: b.parent || ':' || x), []) AS es
+      FROM (SELECT token, unnest(parents) AS parent, unnest(range(len(parents))) AS nth FROM built) b
+      LEFT JOIN (SELECT low, any_value(keys) AS keys FROM checked WHERE is_new GROUP BY 1) c ON c.low = lower(b.parent) LEFT JOIN found f ON f.base_word = b.parent) GROUP BY 1)""",
+    "related AS (SELECT lower(form) AS low, list_sort(list(DISTINCT base_word)) AS bases FROM sprung GROUP BY 1)",
+    "own AS (SELECT low, bool_or(is_new) AS is_new, any_value(keys) AS keys FROM checked GROUP BY 1)",
+    """joined AS (SELECT b.*, a.flags, f.valid, o.low IS NOT NULL AS known, o.is_new, r.bases,
+        list_filter(list_concat(CASE WHEN o.is_new THEN o.keys ELSE [] END, y.keys), lambda x: x <> '') AS all_keys, y.evidence
+      FROM built b LEFT JOIN assigned a USING (token) LEFT JOIN found f ON f.base_word = b.token LEFT JOIN own o ON o.low = lower(b.token) LEFT JOIN related r ON r.low = lower(b.token) LEFT JOIN by_base y USING (token))""",
+    """reported AS (SELECT *, list_reduce(list_prepend([]::VARCHAR[], list_transform(all_keys, lambda x: [x])), lambda x, y: CASE WHEN list_contains(x, y[1]) THEN x ELSE list_concat(x, y) END) AS one_each FROM joined)""",
+    "described AS (SELECT *, array_to_string(one_each, ' | ') AS tb_key, coalesce(one_each[1], '') AS k FROM reported)",
+)
+
+
+def _flat(expression: str, name: str) -> str:
+    return f"coalesce(array_to_string({expression}, ' | '), '') AS {name}"
+
+
+@query(S.statement(*S.AFFIX, GLOSSARY, TERM_TOKENS, *_PAIR, select=f"""SELECT 'g' AS game, 'de' AS language, token, lower(token) AS token_lower,
+  CASE WHEN list_contains(tags, 'tb_filtered_base') AND list_contains(tags, 'corpus_aff_form') THEN 'tb_and_corpus' WHEN list_contains(tags, 'tb_filtered_base') THEN 'tb_only' WHEN list_contains(tags, 'corpus_aff_form') THEN 'corpus_only' ELSE 'generated_casing_inference' END AS origin_class,
+  {_flat('tags', 'lineage_tags')}, known AS in_tb_tokens, tb_key,
+  CASE WHEN len(list_filter(string_split(k, '.'), lambda x: trim(x) <> '')) >= 2 THEN trim(list_filter(string_split(k, '.'), lambda x: trim(x) <> '')[1]) || ':' || trim(list_filter(string_split(k, '.'), lambda x: trim(x) <> '')[2]) ELSE k END AS tb_source_entity,
+  coalesce(is_new, false) AS in_filtered_dic_base, list_contains(tags, 'corpus_aff_form') AS is_corpus_form, false AS is_ghost_form, list_contains(tags, 'casing_inference') AS is_casing_inferred,
+  {_flat('parents', 'source_base_words')}, {_flat('flags', 'assigned_flags')}, CASE WHEN list_contains(flags, 'U') THEN 'U' ELSE '' END AS mandatory_flags_assigned,
+  {_flat("list_filter(flags, lambda x: list_contains(valid, x))", 'validated_flags_assigned')}, {_flat('valid', 'validated_flags_candidates')},
+  CASE WHEN NOT known THEN '' WHEN is_new THEN 'kept_neologism' ELSE 'removed_known_word' END AS filter_status, CASE WHEN known AND NOT is_new THEN 'exact_or_affix' ELSE '' END AS filter_match_type,
+  coalesce(array_to_string(evidence, ' ; '), '') AS flag_evidence_summary, {_flat('bases', 'step4_related_bases')} FROM described"""))
 def consolidated_report(spark, sf_dir):
     """Glossary, audit, word forms and assembly of one pair joined into its report."""
     from ..operators import affix, filtering

@@ -167,7 +167,7 @@ def wip_markers(spark, sf_dir):
 _KEY = """CASE p_partkey % 9 WHEN 0 THEN 'monster.' || p_partkey || '.name, NPC.' || p_size || '.name' WHEN 1 THEN 'Item.name.' || p_partkey WHEN 2 THEN 'subarea.' || p_partkey || '.name'
  WHEN 3 THEN 'emoticon.' || p_partkey || '.shortcut' WHEN 4 THEN 'hint about morse ' || p_partkey WHEN 5 THEN 'title.' || p_partkey || '.male' WHEN 6 THEN 'object.' || p_partkey || '.name'
  WHEN 7 THEN 'document.' || p_partkey || '.author' ELSE 'spell.' || p_partkey || '.name' END"""
-_GLOSSARY = f"""glossary AS (SELECT p_partkey AS row_id, {_KEY} AS key, p_name AS term, 'One: "' || p_name || '", Other: "' || p_type || '"' AS info FROM part
+GLOSSARY = f"""glossary AS (SELECT p_partkey AS row_id, {_KEY} AS key, p_name AS term, 'One: "' || p_name || '", Other: "' || p_type || '"' AS info FROM part
   WHERE NOT regexp_matches({_KEY}, '^emoticon\\.\\d+\\.shortcut') AND NOT regexp_matches({_KEY}, '(?i)\\bmorse\\b'))"""
 
 
@@ -192,28 +192,28 @@ def glossary(spark, sf_dir):
 _CATEGORY = "CASE " + " ".join(f"WHEN {' OR '.join(f'regexp_matches(k, {S.quoted(p)})' for p in ps)} THEN {S.quoted(c)}" for c, ps in C.KEY_CATEGORIES.items()) + " END"
 
 
-@query(S.statement(_GLOSSARY, select=f"SELECT row_id, category FROM (SELECT DISTINCT row_id, {_CATEGORY} AS category FROM (SELECT row_id, unnest(list_transform(string_split(key, ','), lambda x: trim(x))) AS k FROM glossary)) WHERE category IS NOT NULL"))
+@query(S.statement(GLOSSARY, select=f"SELECT row_id, category FROM (SELECT DISTINCT row_id, {_CATEGORY} AS category FROM (SELECT row_id, unnest(list_transform(string_split(key, ','), lambda x: trim(x))) AS k FROM glossary)) WHERE category IS NOT NULL"))
 def key_classification(spark, sf_dir):
     rows = O.glossary_rows(glossary(spark, sf_dir))
     return rows.select("row_id", F.explode(O.key_categories(F.col("key"))).alias("category"))
 
 
-_TERM_TOKENS = f"""terms AS MATERIALIZED (SELECT row_id, key, true AS tracked, unnest({S.tokens('term')}) AS token FROM glossary
+TERM_TOKENS = f"""terms AS MATERIALIZED (SELECT row_id, key, true AS tracked, unnest({S.tokens('term')}) AS token FROM glossary
   UNION ALL SELECT row_id, key, false, unnest({S.tokens('form')}) FROM (SELECT row_id, key, unnest(regexp_extract_all(info, {S.quoted(C.PLURAL_INFO)}, 1)) AS form FROM glossary))"""
 
 
-@query(S.statement(_GLOSSARY, _TERM_TOKENS, select="SELECT token, count(DISTINCT row_id) AS rows, count(*) FILTER (WHERE tracked) AS in_terms FROM terms GROUP BY 1"))
+@query(S.statement(GLOSSARY, TERM_TOKENS, select="SELECT token, count(DISTINCT row_id) AS rows, count(*) FILTER (WHERE tracked) AS in_terms FROM terms GROUP BY 1"))
 def glossary_tokens(spark, sf_dir):
     rows = O.glossary_tokens(glossary(spark, sf_dir))
     return rows.groupBy("token").agg(F.count_distinct("row_id").alias("rows"), F.count_if(F.col("tracked")).alias("in_terms"))
 
 
-@query(S.statement(_GLOSSARY, _TERM_TOKENS, select="SELECT lower(token) AS token_lower, array_to_string(list_sort(list(DISTINCT trim(key))), ' | ') AS tb_keys FROM terms WHERE tracked GROUP BY 1"))
+@query(S.statement(GLOSSARY, TERM_TOKENS, select="SELECT lower(token) AS token_lower, array_to_string(list_sort(list(DISTINCT trim(key))), ' | ') AS tb_keys FROM terms WHERE tracked GROUP BY 1"))
 def token_key_lineage(spark, sf_dir):
     return O.token_keys(O.glossary_tokens(glossary(spark, sf_dir))).select("token_lower", F.array_join("keys", " | ").alias("tb_keys"))
 
 
-@query(S.statement(_GLOSSARY, select=r"""SELECT row_id, CASE WHEN len(p) >= 2 THEN p[1] || ':' || p[2] ELSE f END AS entity
+@query(S.statement(GLOSSARY, select=r"""SELECT row_id, CASE WHEN len(p) >= 2 THEN p[1] || ':' || p[2] ELSE f END AS entity
 FROM (SELECT row_id, f, list_filter(list_transform(string_split(f, '.'), lambda x: trim(x)), lambda x: x <> '') AS p FROM (SELECT row_id, trim(string_split(key || ' | x.1', '|')[1]) AS f FROM glossary))"""))
 def source_entities(spark, sf_dir):
     rows = O.glossary_rows(glossary(spark, sf_dir))
