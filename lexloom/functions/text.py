@@ -59,6 +59,11 @@ def strip_escaped_tags(text: Column, full_entities: bool = False) -> Column:
     return squeeze(decode_entities(text, full_entities))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that it names several times, the value evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_raw_tags(text: Column) -> Column:
     """Markup of web pages removed: scripts, styles and comments with their content, then tags."""
     for tag in ("script", "style"):
@@ -156,13 +161,10 @@ TOKEN = rf"(?U){_CLASS}+(?:[-']{_CLASS}+)*"
 
 def is_good_token(token: Column) -> Column:
     """Neither short, nor one character repeated, nor digits, a time, or digits joined to a word."""
-    return (
-        (F.char_length(token) >= 3)
-        & (F.size(F.array_distinct(F.split(F.lower(token), ""))) > 1)
-        & ~token.rlike(r"(?U)^\d+$")
-        & ~token.rlike("(?iU)" + C.TIME_TOKEN)
-        & ~token.rlike(r"(?U)^\d+-\w+$")
-    )
+    low = F.lower(token)
+    # few tokens begin with a digit, and only those can be digits, times or digits with a word
+    digits = token.rlike(r"(?U)^\d+$") | token.rlike("(?iU)" + C.TIME_TOKEN) | token.rlike(r"(?U)^\d+-\w+$")
+    return (F.char_length(token) >= 3) & (F.replace(low, F.substring(low, 1, 1), F.lit("")) != "") & ~(token.rlike(r"(?U)^\d") & digits)
 
 
 def raw_tokens(text: Column) -> Column:
@@ -175,7 +177,7 @@ def tokens(text: Column, mode: str | Column = "default", *, full_entities: bool
     default, or a column that says which."""
     clean = strip_control_escapes(strip_escaped_tags(text, full_entities))
     if morphology:
-        clean = F.when(F.contains(clean, F.lit("{~")) | F.contains(clean, F.lit("{[")), expand_morphology(clean)).otherwise(clean)
+        clean = once(clean, lambda c: F.when(F.contains(c, F.lit("{~")) | F.contains(c, F.lit("{[")), expand_morphology(c)).otherwise(c))
     clean = strip_emails(strip_urls(clean))
     steps = {"english": expand_contractions, "portuguese": split_portuguese, "french": strip_french_elisions}
 
@@ -185,7 +187,7 @@ def tokens(text: Column, mode: str | Column = "default", *, full_entities: bool
             found = F.transform(found, lambda t: F.regexp_replace(t, "'[sS]$", ""))
         elif which == "french":
             found = F.transform(found, strip_french_elisions)
-        return F.array_distinct(F.filter(found, is_good_token))
+        return F.filter(F.array_distinct(found), is_good_token)
 
     if isinstance(mode, str):
         return made(mode)

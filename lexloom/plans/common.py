@@ -11,6 +11,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores where its files give fewer splits than would keep them busy: taking texts apart
+    costs far more than dealing them. Tables of many splits, as large ones are, stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def add(queries: dict, oracles: dict) -> Callable:
     """A decorator that files a query, and its SQL where there is some, under the function's name."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import assembly, language, reports, wordforms
 from ..operators.materialise import cut
 from . import sql as S
-from .common import add, load
+from .common import add, load, spread
 from .queries_text import GLOSSARY, TERM_TOKENS, conversation_tokens, doc_tokens, glossary
 
 QUERIES: dict = {}
@@ -161,7 +161,7 @@ def verdict_summary(spark, sf_dir):
 @query(None)
 def language_filter(spark, sf_dir):
     """Strings tagged with a language that their letters do not bear out; the scores are our own."""
-    docs = load(spark, sf_dir, "documents")
+    docs = spread(load(spark, sf_dir, "documents"))
     table = language.profiles(docs)
     rows = load(spark, sf_dir, "conversations").select(F.concat_ws(".", "conv_id", "turn").alias("key"), "text")
     return language.language_filter(rows, table, lang="de").select("key", "word_count", "confidence", "threshold", "is_wrong")

@@ -10,7 +10,7 @@ from ..functions import predicates as P
 from ..functions import text as T
 from ..operators import tokens as O
 from . import sql as S
-from .common import add, load
+from .common import add, load, spread
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -19,7 +19,7 @@ query = add(QUERIES, ORACLES)
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, token) of all documents, in default mode."""
-    return O.exploded_tokens(load(spark, sf_dir, "documents"), F.col("text"), keep=["doc_id", "lang", "source"])
+    return O.exploded_tokens(spread(load(spark, sf_dir, "documents")), F.col("text"), keep=["doc_id", "lang", "source"])
 
 
 def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(S.statement(S.TOK, select="SELECT DISTINCT lang, token FROM tok"))
 def token_extraction(spark, sf_dir):
-    return O.distinct_tokens(load(spark, sf_dir, "documents"), F.col("text"), keys=["lang"])
+    return O.distinct_tokens(spread(load(spark, sf_dir, "documents")), F.col("text"), keys=["lang"])
 
 
 _REASON = (
@@ -43,7 +43,7 @@ _REASON = (
 def token_quality_reasons(spark, sf_dir):
     clean = T.strip_emails(T.strip_urls(T.strip_control_escapes(T.strip_escaped_tags(F.col("text")))))
     raw = F.transform(T.raw_tokens(clean), lambda t: F.regexp_replace(t, r"^['-]+|['-]+$", ""))
-    rows = load(spark, sf_dir, "documents").select("lang", F.explode(raw).alias("t"))
+    rows = spread(load(spark, sf_dir, "documents")).select("lang", F.explode(raw).alias("t"))
     t = F.col("t")
     reason = (
         F.when(t == "", "empty")
@@ -112,7 +112,7 @@ _ELIDED = "replace(replace(text, ' e', ' l''e'), ' o', ' qu’o')"
 @query(f"SELECT doc_id, md5({S.replaced(_ELIDED, '(?i)' + chr(92) + 'b' + C.FRENCH_CLITICS + '([' + C.FRENCH_VOWELS + '])', chr(92) + '1')}) AS digest FROM documents WHERE lang = 'fr'")
 def french_elisions(spark, sf_dir):
     elided = F.replace(F.replace("text", F.lit(" e"), F.lit(" l'e")), F.lit(" o"), F.lit(" qu’o"))
-    return load(spark, sf_dir, "documents").where("lang = 'fr'").select("doc_id", F.md5(T.strip_french_elisions(elided)).alias("digest"))
+    return spread(load(spark, sf_dir, "documents")).where("lang = 'fr'").select("doc_id", F.md5(T.strip_french_elisions(elided)).alias("digest"))
 
 
 def _portuguese_sql(e: str) -> str:
@@ -137,7 +137,7 @@ def morphology_marks(spark, sf_dir):
 
 @query("SELECT doc_id, substr(replace(replace(lower(upper(lang) || '-XX'), '-', ''), '_', ''), 1, 2) AS code FROM documents")
 def language_codes(spark, sf_dir):
-    return load(spark, sf_dir, "documents").select("doc_id", T.language_code(F.concat(F.upper("lang"), F.lit("-XX"))).alias("code"))
+    return spread(load(spark, sf_dir, "documents")).select("doc_id", T.language_code(F.concat(F.upper("lang"), F.lit("-XX"))).alias("code"))
 
 
 _PAIRS = """pairs AS (SELECT conv_id, turn, role, text AS source,
@@ -225,7 +225,7 @@ _LETTERS = f"[{C.LETTER}]"
 
 @query(f"""SELECT doc_id, lower({S.replaced(f"regexp_extract(text, {S.quoted(_LETTERS + '[' + C.LETTER + chr(39) + '’-]*')})", "^['’-]+|['’-]+$", "")}) AS first_word FROM documents""")
 def first_words(spark, sf_dir):
-    return load(spark, sf_dir, "documents").select("doc_id", T.first_word_lower(F.col("text")).alias("first_word"))
+    return spread(load(spark, sf_dir, "documents")).select("doc_id", T.first_word_lower(F.col("text")).alias("first_word"))
 
 
 @query(S.statement(S.TOK, select="SELECT lang, lower(token) AS token_lower, array_to_string(list_sort(list(DISTINCT token)), ' | ') AS forms, min(token) AS first_form FROM tok GROUP BY 1, 2"))
@@ -244,14 +244,14 @@ named AS (SELECT lang, {S.replaced('w', "^['’-]+|['’-]+$", '')} AS token, CA
 SELECT lang, lower(token) AS token_lower, count(*) FILTER (WHERE token = lower(token)) AS lowercase_count,
  count(*) FILTER (WHERE token[1] = upper(token[1]) AND token[1] <> lower(token[1]) AND NOT starts) AS uppercase_mid_sentence_count FROM named WHERE token <> '' GROUP BY 1, 2""")
 def case_evidence(spark, sf_dir):
-    return O.case_evidence(load(spark, sf_dir, "documents").where("lang = 'es'"), F.col("text"), keys=["lang"])
+    return O.case_evidence(spread(load(spark, sf_dir, "documents")).where("lang = 'es'"), F.col("text"), keys=["lang"])
 
 
 @query("""SELECT doc_id, len(list_filter(string_split_regex(t, '\\s+'), lambda w: w <> '')) AS words, length(regexp_replace(t, '\\P{L}', '', 'g')) AS letters
 FROM (SELECT doc_id, %s AS t FROM documents)""" % S.squeezed(S.replaced(S.replaced("text", r"\[[^\]]*\]", " "), r"\{[^}]*\}", " ")))
 def detection_stats(spark, sf_dir):
     s = T.word_stats(T.strip_placeholders(F.col("text")))
-    return load(spark, sf_dir, "documents").select("doc_id", s["words"].alias("words"), s["letters"].alias("letters"))
+    return spread(load(spark, sf_dir, "documents")).select("doc_id", s["words"].alias("words"), s["letters"].alias("letters"))
 
 
 @query("SELECT p_partkey, array_to_string(list_filter(list_transform(string_split(p_name || ' | ' || ' |' || p_brand, '|'), lambda x: trim(x)), lambda x: x <> ''), '/') AS parts FROM part")
