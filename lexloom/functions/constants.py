@@ -52,11 +52,11 @@ SPANISH_NOISE = ("tar", "star", "sir", "over")
 #: flags by language: given to every word, tested by quorum, tested by quorum if verbs are asked for,
 #: and, kept as configuration only, for names of places and of living things
 FLAG_POLICY = {
-    "es": {"mandatory": [], "validation": ["S", "G"], "verb": ["R", "E", "I"], "area_extra": [], "entity_extra": []},
-    "de": {"mandatory": ["S"], "validation": ["F", "p", "P", "R", "N", "E"], "verb": ["I", "X", "Y", "Z", "W"], "area_extra": ["x", "y", "z"], "entity_extra": []},
-    "en": {"mandatory": [], "validation": ["S"], "verb": ["D", "G", "d"], "area_extra": [], "entity_extra": ["M"]},
-    "pt": {"mandatory": [], "validation": ["B", "D", "F"], "verb": [], "area_extra": [], "entity_extra": []},
-    "fr": {"mandatory": [], "validation": [], "verb": [], "area_extra": [], "entity_extra": []},
+    "es": {"mandatory": [], "validation": ["S", "G"], "verb": ["R", "E", "I"]},
+    "de": {"mandatory": ["S"], "validation": ["F", "p", "P", "R", "N", "E"], "verb": ["I", "X", "Y", "Z", "W"]},
+    "en": {"mandatory": [], "validation": ["S"], "verb": ["D", "G", "d"]},
+    "pt": {"mandatory": [], "validation": ["B", "D", "F"], "verb": []},
+    "fr": {"mandatory": [], "validation": [], "verb": []},
 }
 
 #: categories of glossary keys in order of precedence, each with its patterns

@@ -78,7 +78,7 @@ def strip_control_escapes(text: Column) -> Column:
 
 
 def strip_urls(text: Column) -> Column:
-    return F.regexp_replace(text, r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\\(\\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+", "")
+    return F.regexp_replace(text, C.URL, "")
 
 
 def strip_emails(text: Column) -> Column:

@@ -276,3 +276,8 @@ def parity(a: DataFrame, b: DataFrame, on: list[str], column: str = "signature")
     """Full outer comparison of two runs' signatures: keys, left, right, equal."""
     rows = a.select(*on, F.col(column).alias("left")).join(b.select(*on, F.col(column).alias("right")), on, "full")
     return rows.select(*on, "left", "right", F.col("left").eqNullSafe(F.col("right")).alias("equal"))
+
+
+def median_seconds(timings: DataFrame, on: list[str]) -> DataFrame:
+    """(on, runs, seconds): the median of each step's timings, column ``seconds``."""
+    return timings.groupBy(*on).agg(F.count("seconds").alias("runs"), F.median("seconds").alias("seconds"))

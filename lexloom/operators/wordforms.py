@@ -176,6 +176,11 @@ def diff_totals(diff: DataFrame) -> DataFrame:
     return diff.agg(lost.alias("lost"), kept.alias("kept"), F.sum(F.size("gained")).alias("gained"), F.round(lost * 100.0 / F.greatest(lost + kept, F.lit(1)), 6).alias("lost_percent"))
 
 
+def top_lost(diff: DataFrame, n: int = 30) -> DataFrame:
+    """(base_word, lost): the bases that lost most forms, ties by name."""
+    return diff.where(F.size("lost") > 0).orderBy(F.desc(F.size("lost")), "base_word").limit(n).select("base_word", "lost")
+
+
 def order_by_lower(column: str | Column) -> list[Column]:
     """Case-insensitive order, ties by the word itself."""
     c = F.col(column) if isinstance(column, str) else column

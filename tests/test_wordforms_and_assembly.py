@@ -158,6 +158,10 @@ def test_differences(spark):
     diff = wordforms.diff_wordforms(old, new)
     assert {r["base_word"]: (r["lost"], r["gained"], r["kept"]) for r in diff.collect()} == {"a": (["x"], ["w"], ["y"]), "b": (["z"], [], []), "c": ([], ["v"], [])}
     assert tuple(wordforms.diff_totals(diff).first()) == (2, 1, 2, round(200 / 3, 6))
+    assert [tuple(r) for r in wordforms.top_lost(diff).collect()] == [("a", ["x"]), ("b", ["z"])]
+    assert [r["base_word"] for r in wordforms.top_lost(diff, 1).collect()] == ["a"]
+    times = spark.createDataFrame([("filter", 3.0), ("filter", 1.0), ("filter", 9.0), ("tokens", 2.0), ("tokens", None)], "step string, seconds double")
+    assert {r["step"]: (r["runs"], r["seconds"]) for r in reports.median_seconds(times, ["step"]).collect()} == {"filter": (3, 3.0), "tokens": (1, 2.0)}
 
 
 def test_glossary_rules(spark):
