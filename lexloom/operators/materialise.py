@@ -5,15 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame, name: str = "rows") -> DataFrame:
-    """``df`` written to the session's checkpoint folder and read back; the files go when the session's JVM ends.
+def shared_path(spark: SparkSession, name: str = "rows") -> str:
+    """A new path in the session's checkpoint folder; what is written there goes when the session's JVM ends.
 
     Without such a folder a temporary one is made, but only under a local master: executors of a cluster would
     each write to a disk of their own."""
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
@@ -23,5 +22,11 @@ def cut(df: DataFrame, name: str = "rows") -> DataFrame:
     path = f"{folder.rstrip('/')}/lexloom/{name}-{uuid.uuid4().hex}"
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def cut(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` written to the session's checkpoint folder and read back."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

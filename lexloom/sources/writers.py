@@ -4,6 +4,8 @@ streamed to the store row by row."""
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,11 @@ def _stream(spark: SparkSession, path: str, rows, encode) -> int:
     return n
 
 
+def write_lines(spark: SparkSession, path: str, lines) -> int:
+    """One file of the given lines."""
+    return _stream(spark, path, lines, lambda line: f"{line}\n".encode())
+
+
 def write_tokens(tokens: DataFrame, path: str) -> None:
     """One token a line in code point order, as a folder of ordered text files."""
     tokens.select("token").distinct().orderBy("token").write.mode("overwrite").text(path)
@@ -41,12 +48,26 @@ def write_token_file(tokens: DataFrame, path: str) -> int:
     return _stream(tokens.sparkSession, path, rows, lambda r: f"{r[0]}\n".encode())
 
 
+def _json_lists(rows) -> Iterator[str]:
+    """The members of a JSON object from (name, item) rows ordered by name: each name with the list of its items."""
+    last, first = None, True
+    for name, item in rows:
+        if name != last:
+            yield ("" if first else "\n    ],\n") + f"    {json.dumps(name, ensure_ascii=False)}: ["
+            last, comma, first = name, "\n", False
+        yield f"{comma}      {json.dumps(item, ensure_ascii=False)}"
+        comma = ",\n"
+    if not first:
+        yield "\n    ]\n"
+
+
 def write_sidecar(categories: DataFrame, keys: DataFrame, path: str) -> str:
-    """Categories and glossary keys of tokens as one JSON document."""
-    by_category = {r[0]: list(r[1]) for r in categories.groupBy("category").agg(F.array_sort(F.collect_set("token_lower"))).collect()}
-    by_token = {r["token_lower"]: list(r["keys"]) for r in keys.orderBy("token_lower").toLocalIterator()}
-    text = json.dumps({"by_category": by_category, "by_token": by_token}, ensure_ascii=False, indent=2)
-    return files.write_bytes(categories.sparkSession, path, text.encode())
+    """Categories and glossary keys of tokens as one JSON document, streamed in order."""
+    named = categories.select("category", "token_lower").where("category IS NOT NULL AND token_lower IS NOT NULL").distinct().orderBy("category", "token_lower")
+    keyed = keys.where("token_lower IS NOT NULL").select("token_lower", F.posexplode("keys").alias("nth", "key")).orderBy("token_lower", "nth").select("token_lower", "key")
+    parts = chain(['{\n  "by_category": {\n'], _json_lists(named.toLocalIterator()), ['  },\n  "by_token": {\n'], _json_lists(keyed.toLocalIterator()), ["  }\n}\n"])
+    _stream(categories.sparkSession, path, parts, lambda x: x.encode())
+    return path
 
 
 def read_sidecar(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -75,13 +96,15 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_i18n(rows: DataFrame, path: str) -> None:
-    """Corpus strings as JSON ({"entries": {..}}) or, for paths that end so, properties."""
+    """Corpus strings as JSON ({"entries": {..}}, of several texts of a key the largest) or, for paths that end so,
+    properties. Both are streamed in the order of keys."""
     spark = rows.sparkSession
     if path.endswith(".properties"):
         _stream(spark, path, rows.orderBy("key").toLocalIterator(), lambda r: f"{r['key']}={r['text']}\n".encode())
         return
-    entries = {r["key"]: r["text"] for r in rows.orderBy("key").toLocalIterator()}
-    files.write_bytes(spark, path, json.dumps({"entries": entries}, ensure_ascii=False, indent=2).encode())
+    one = rows.groupBy("key").agg(F.max("text").alias("text")).orderBy("key").toLocalIterator()  # names of an object are unique
+    members = (f"{',' if n else ''}\n    {json.dumps(r['key'], ensure_ascii=False)}: {json.dumps(r['text'], ensure_ascii=False)}" for n, r in enumerate(one))
+    _stream(spark, path, chain(['{\n  "entries": {'], members, ["\n  }\n}\n"]), lambda x: x.encode())
 
 
 def write_filtered_properties(spark: SparkSession, source: str, target: str, removed_keys: set[str]) -> int:
