@@ -158,7 +158,26 @@ def verdict_summary(spark, sf_dir):
     return reports.verdict_summary(load(spark, sf_dir, "part").select(F.col("p_name").alias("word"), verdict.alias("is_correct")))
 
 
-@query(None)
+def _trigrams(expression: str) -> str:
+    return f"list_transform(range(1, length({expression}) - 1), lambda i: substr({expression}, i, 3))"
+
+
+_DETECTED = S.squeezed(S.replaced(S.replaced(S.stripped_tags("text"), r"\[[^\]]*\]", " "), r"\{[^}]*\}", " "))
+_LANGUAGES = f"""counted AS (SELECT lang, gram, count(*) AS n FROM (SELECT lang, unnest({_trigrams('p')}) AS gram FROM (SELECT lang, ' ' || lower(text) || ' ' AS p FROM documents WHERE lang IS NOT NULL)) GROUP BY 1, 2),
+profile AS MATERIALIZED (SELECT lang, gram, round(ln((n + 1.0::DOUBLE) / (total + 1.0::DOUBLE)), 6) AS weight FROM (
+  SELECT *, sum(n) OVER (PARTITION BY lang) AS total, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS nth FROM counted) WHERE nth <= 2000),
+clean AS (SELECT conv_id || '.' || turn AS key, {_DETECTED} AS t FROM conversations),
+stats AS MATERIALIZED (SELECT key, t, len(list_filter(string_split_regex(t, '\\s+'), lambda w: w <> '')) AS words, length(regexp_replace(t, '\\P{{L}}', '', 'g')) AS letters FROM clean),
+tried AS MATERIALIZED (SELECT *, words > 0 AND letters >= 3 AND letters::DOUBLE / greatest(length(t), 1) >= 0.35::DOUBLE AND NOT (t = upper(t) AND t <> lower(t) AND letters <= 4) AS try FROM stats),
+asked AS (SELECT key, gram, count(*) AS k FROM (SELECT key, unnest({_trigrams('p')}) AS gram FROM (SELECT key, ' ' || lower(t) || ' ' AS p FROM tried WHERE try)) GROUP BY 1, 2),
+scored AS (SELECT a.key, l.lang, sum(a.k * coalesce(p.weight, -14.0::DOUBLE)) / sum(a.k) AS score FROM asked a CROSS JOIN (SELECT DISTINCT lang FROM profile) l LEFT JOIN profile p ON p.lang = l.lang AND p.gram = a.gram GROUP BY 1, 2),
+odds AS (SELECT key, lang, exp((score - max(score) OVER (PARTITION BY key)) * 4) AS o FROM scored),
+shares AS (SELECT key, lang, round(o / sum(o) OVER (PARTITION BY key), 6) AS c FROM odds),
+found AS (SELECT key, max(c) FILTER (WHERE lang = 'de') AS target, max(c) FILTER (WHERE lang = 'en') AS en, max(c) FILTER (WHERE lang = 'fr') AS fr FROM shares GROUP BY 1)"""
+
+
+@query(S.statement(_LANGUAGES, select="""SELECT key, words AS word_count, coalesce(target, 1.0::DOUBLE) AS confidence, CASE WHEN try AND words >= 7 THEN 0.12::DOUBLE ELSE 0.0::DOUBLE END AS threshold,
+  coalesce(CASE WHEN words >= 7 THEN target < 0.12::DOUBLE ELSE target < en AND target < fr END, false) AS is_wrong FROM tried LEFT JOIN found USING (key)"""))
 def language_filter(spark, sf_dir):
     """Strings tagged with a language that their letters do not bear out; the scores are our own."""
     docs = spread(load(spark, sf_dir, "documents"))
