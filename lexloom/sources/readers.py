@@ -103,8 +103,9 @@ def xliff_texts(units: DataFrame, lang: str, **switches) -> DataFrame:
 
 
 def read_i18n_json(spark: SparkSession, path: str) -> DataFrame:
-    """(key, text) of a JSON object of strings, or of its "entries"; other values are left out."""
-    raw = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+    """(key, text) of a JSON object of strings, or of its "entries"; other values are left out. A file that is no
+    JSON, or beyond what one value may hold, is an error."""
+    raw = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
     inner = F.try_variant_get("v", "$.entries", "map<string, variant>")
     rows = raw.select(F.explode(F.coalesce(inner, F.try_variant_get("v", "$", "map<string, variant>"))).alias("key", "x"))
     return rows.where(F.schema_of_variant("x") == "STRING").select("key", F.try_variant_get("x", "$", "string").alias("text"))
