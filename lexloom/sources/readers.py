@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import csv
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,11 +107,19 @@ def xliff_texts(units: DataFrame, lang: str, **switches) -> DataFrame:
 
 def read_i18n_json(spark: SparkSession, path: str) -> DataFrame:
     """(key, text) of a JSON object of strings, or of its "entries"; other values are left out. A file that is no
-    JSON, or beyond what one value may hold, is an error."""
-    raw = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
-    inner = F.try_variant_get("v", "$.entries", "map<string, variant>")
-    rows = raw.select(F.explode(F.coalesce(inner, F.try_variant_get("v", "$", "map<string, variant>"))).alias("key", "x"))
-    return rows.where(F.schema_of_variant("x") == "STRING").select("key", F.try_variant_get("x", "$", "string").alias("text"))
+    JSON is an error. One object is one value, so a task takes a file as a whole (below 2 GB), in a single pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                data = json.loads(files.decode(content.as_py()))
+                entries = data.get("entries") if isinstance(data, dict) else {}
+                rows = [(k, v) for k, v in (entries if isinstance(entries, dict) else data).items() if isinstance(v, str)]
+                for at in range(0, len(rows), 10_000):
+                    part = rows[at : at + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], pa.string()) for k in (0, 1)], ["key", "text"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "key string, text string")
 
 
 def read_i18n_properties(spark: SparkSession, path: str) -> DataFrame:
