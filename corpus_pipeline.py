@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import Carried, Scratch, cut, table
+from lexloom.llm.common import BATCH_SETTING, Carried, Scratch, cut, small_batches, table
 from lexloom.llm.jaccard import jaccard_components
 from lexloom.llm.line_dedup import dedup_lines
 from lexloom.llm.mixing import training_stream
@@ -23,12 +23,14 @@ def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
+    small_batches(spark)
     return quality(docs).where("quality.kept").drop("quality").toDF(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of three or more documents stay in the one with the largest id; a document that loses all
     its lines goes."""
+    small_batches(spark)
     out = dedup_lines(docs).where(~(F.col("line_dedup.n_dropped") == F.col("line_dedup.n_lines")))
     return _recounted(out, docs.columns)
 
@@ -40,6 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by id and text, so rows that share an id go only with copies of their own text; of
     rows equal in both one stays. Which go is decided on keys; texts meet the table of those that go only.
     """
+    small_batches(spark)
     scratch = Scratch(spark)
     carried = Carried(docs)
     doc, text = F.col(carried.name("doc_id")).alias("doc_id"), carried.name("text")
@@ -70,6 +73,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 2,048 tokens."""
+    small_batches(spark)
     return pack(docs, path=public_path("byte_bpe_50k.json"), window=2048, end_id=1)
 
 
@@ -83,9 +87,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+    docs, limit = table(spark, sf_dir, "documents"), spark.conf.get(BATCH_SETTING, None)
+    try:
+        for name, stage in STAGES:
+            docs = cut(stage(spark, docs, sf_dir), name)
+    finally:  # all is written: the session has its own limit again
+        spark.conf.unset(BATCH_SETTING) if limit is None else spark.conf.set(BATCH_SETTING, limit)
     return docs
 
 

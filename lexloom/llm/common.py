@@ -87,6 +87,20 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+#: a session's setting, and the bytes that an Arrow batch for Python holds at most (and one row more)
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on rows go to Python workers in small batches. A batch is held several times over, by the
+    executor's buffers and by the worker as Arrow, strings and result, and neither gives all of that back, so
+    with long texts its size decides what an executor takes besides its heap. Results do not depend on it;
+    a smaller limit of the session stays."""
+    limit = spark.conf.get(BATCH_SETTING, None)
+    if limit is None or spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 class Carried:
     """The columns of an input under private names while an operator works, so that none can clash with
     the operator's own. At the end they are back under their names; one that is named like one of

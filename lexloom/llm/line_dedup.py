@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, Carried, cut
+from .common import SPACE, Carried, cut, give_back
 
 
 def _key(line: str, min_chars: int) -> bytes | None:
@@ -45,6 +45,7 @@ def _keys_of(min_chars: int):
                 ids += [doc] * len(found)
                 keys += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(keys, pa.binary())], ["ll_id", "ll_key"])
+            give_back()
 
     return run
 
@@ -61,6 +62,7 @@ def _reassemble(min_chars: int):
             drop, parts = set(drop), text.split("\n")
             kept = [x for x in parts if _key(x, min_chars) not in drop]
             out.append("\n".join(kept)), lines.append(len(parts)), dropped.append(len(parts) - len(kept))
+        give_back()
         return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], ["text", "n_lines", "n_dropped"])
 
     return run.asNondeterministic()  # not evaluated again for a filter on its result

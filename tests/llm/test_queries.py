@@ -122,3 +122,32 @@ def test_stages_on_nulls_repeats_and_clashing_columns(spark, tmp_path):
             assert out.where("mix <> 'own' OR line_dedup <> 'own' OR ll_key <> 'own' OR ll_signals <> 'own'").count() == 0
             assert {r[0] for r in out.select("quality").distinct().collect()} <= {"k", None}
             docs = out
+
+
+@pytest.mark.parametrize("name", ["quality_rules", "line_dedup", "near_duplicates", "packing"])
+def test_stages_hand_texts_to_python_in_small_batches(spark, monkeypatch, name):
+    """An executor's memory outside its heap follows the size of a batch; the stages bound its bytes, not only its rows."""
+    import pyarrow as pa
+
+    import corpus_pipeline as C
+    from lexloom.llm.common import BATCH_BYTES, BATCH_SETTING
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(x.as_py()) for x in batch.column(0))])], ["n"])
+
+    stage, wide = dict(C.STAGES)[name], spark.range(0, 300, 1, 1).select(F.expr("repeat('long text ', 3000)").alias("text"))
+    docs = spark.createDataFrame([(i, f"text {i}\nof the stage") for i in range(5)], "doc_id long, text string")
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        stage(spark, docs, SF)  # what it returns runs later, in this session
+        got = [r[0] for r in wide.mapInArrow(sizes, "n long").collect()]
+        assert sum(got) == 300 * 30_000 and max(got) <= BATCH_BYTES + 30_000
+        spark.conf.set(BATCH_SETTING, "64k")
+        stage(spark, docs, SF)
+        assert spark.conf.get(BATCH_SETTING) == "64k"
+        spark.conf.set(BATCH_SETTING, "32m")
+        monkeypatch.setattr(C, "STAGES", [(name, stage)])
+        assert C.run(spark, SF).count() > 0 and spark.conf.get(BATCH_SETTING) == "32m"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
