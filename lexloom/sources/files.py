@@ -71,6 +71,50 @@ def write_bytes(spark: SparkSession, path: str, raw: bytes) -> str:
     return path
 
 
+def write_joined(spark: SparkSession, path: str, pieces: list[bytes | str], drop_end: int = 0) -> str:
+    """One file of texts (bytes) and of the part files of folders (paths) in their order. The driver's JVM copies
+    streams through one small buffer and sees no rows. ``drop_end`` bytes go from the end of each folder."""
+    fs, where = _fs(spark, path)
+    copy = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.copyLarge
+    out = fs.create(where, True)
+    try:
+        for piece in pieces:
+            if isinstance(piece, bytes):
+                out.write(bytearray(piece))
+                continue
+            parts = part_files(spark, piece)
+            for i, (part, size) in enumerate(parts):
+                source = fs.open(part)
+                try:
+                    copy(source, out, 0, size - (drop_end if i + 1 == len(parts) else 0))
+                finally:
+                    source.close()
+    finally:
+        out.close()
+    return path
+
+
+def part_files(spark: SparkSession, folder: str) -> list[tuple]:
+    """(path, bytes) of the part files of a folder that hold something, in the order in which they were numbered."""
+    fs, where = _fs(spark, folder)
+    found = [(s.getPath(), s.getLen()) for s in fs.listStatus(where) if s.getPath().getName().startswith("part-") and s.getLen()]
+    return sorted(found, key=lambda x: (len(x[0].getName()), x[0].getName()))
+
+
+def ends(spark: SparkSession, path: str, n: int = 64) -> tuple[bytes, bytes]:
+    """The first and the last bytes of a file; nothing where the path is no single file."""
+    fs, where = _fs(spark, path)
+    if not fs.exists(where) or not (status := fs.getFileStatus(where)).isFile():
+        return b"", b""
+    source, size = fs.open(where), status.getLen()
+    try:
+        head = bytes(source.readNBytes(n))
+        source.seek(max(0, size - n))
+        return head, bytes(source.readNBytes(n))
+    finally:
+        source.close()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, where = _fs(spark, path)
     return bool(fs.delete(where, True))
