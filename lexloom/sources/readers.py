@@ -105,9 +105,52 @@ def xliff_texts(units: DataFrame, lang: str, **switches) -> DataFrame:
     return rows.withColumn("reason", reason)
 
 
+def _i18n_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, comma, key, text) of the lines of a JSON object that has a member to a line: kind is text, other (a value
+    that is no text), bad (no member), or the line itself where it belongs to the frame."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for line in batch.column(0).to_pylist():
+                if line in _FRAME:
+                    out.append((line, False, None, None))
+                    continue
+                body = line.removesuffix(",")
+                try:
+                    members = list(json.loads("{" + body + "}").items())
+                except ValueError:
+                    members = []
+                key, text = members[0] if len(members) == 1 and line.startswith('    "') else (None, None)
+                kind = "bad" if key is None else "text" if isinstance(text, str) else "other"
+                out.append((kind, body != line, key, text if kind == "text" else None))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.bool_(), pa.string(), pa.string()))], ["kind", "comma", "key", "text"])
+
+    return spark.read.text(path).mapInArrow(run, "kind string, comma boolean, key string, text string")
+
+
+_FRAME = ("{", '  "entries": {', "  }", "}")
+
+
+def _is_whole(lines: DataFrame) -> bool:
+    """Whether lines are one object in its frame, with commas between members and no name twice."""
+    member = F.col("kind").isin("text", "other")
+    name = F.when(member, F.xxhash64("key"))
+    frame = [F.count_if(F.col("kind") == x) for x in _FRAME]
+    n, bad, commas, names, *counts = lines.agg(F.count_if(member), F.count_if(F.col("kind") == "bad"), F.count_if(member & F.col("comma")), F.count_distinct(name), *frame).first()
+    return not bad and commas == max(n - 1, 0) and names == n and counts == [1] * len(_FRAME)
+
+
 def read_i18n_json(spark: SparkSession, path: str) -> DataFrame:
     """(key, text) of a JSON object of strings, or of its "entries"; other values are left out. A file that is no
-    JSON is an error. One object is one value, so a task takes a file as a whole (below 2 GB), in a single pass."""
+    JSON is an error. A file with a member to a line, as write_i18n() writes it, is read by lines on all cores; any
+    other is one value, which a task takes as a whole (below 2 GB), in a single pass."""
+    head, tail = files.ends(spark, path)
+    if head.startswith(b'{\n  "entries": {\n') and tail.endswith(b"\n  }\n}\n") and not tail.endswith(b",\n  }\n}\n"):
+        lines = _i18n_lines(spark, path)
+        if _is_whole(lines):
+            return lines.where("kind = 'text'").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from lexloom.sources import files, writers
+from lexloom.sources import files, readers, writers
 
 
 @pytest.fixture
@@ -47,3 +47,35 @@ def test_broken_sidecar_is_an_error(spark, tmp_path):
     (tmp_path / "s.json").write_text('{\n  "by_category": {\n    "npc": [\n      "a"\n      "b"\n    ]\n  },\n  "by_token": {\n  }\n}\n')
     with pytest.raises(Exception, match="JSONDecodeError"):
         writers.read_sidecar(spark, f"{tmp_path}/s.json")[0].collect()
+
+
+def test_i18n_is_written_and_read_without_the_driver(spark, tmp_path, monkeypatch, small_splits):
+    rows = [(f"k{i:03}", f'text "{i}"\n\\ é') for i in range(200)] + [("none", None)]
+    _no_rows_to_the_driver(spark, monkeypatch)
+    for end in ("json", "properties"):
+        writers.write_i18n(spark.createDataFrame(rows, "key string, text string"), f"{tmp_path}/c.{end}")
+    assert (tmp_path / "c.json").read_text() == json.dumps({"entries": dict(sorted(rows))}, indent=2, ensure_ascii=False) + "\n"
+    assert (tmp_path / "c.properties").read_text() == "".join(f"{k}={t}\n" for k, t in sorted(rows))
+    back = readers.read_i18n_json(spark, f"{tmp_path}/c.json")
+    assert back.rdd.getNumPartitions() > 10
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows[:-1])
+
+
+@pytest.mark.parametrize(
+    "text, rows",
+    [
+        ('{\n  "entries": {\n    "a": "1",\n    "b": {\n      "x": "y"\n    },\n    "c": "3"\n  }\n}\n', [("a", "1"), ("c", "3")]),
+        ('{\n  "entries": {\n    "a": "1",\n    "a": "2"\n  }\n}\n', [("a", "2")]),
+        ('{\n  "entries": {\n    "a": "1",\n    "b": 2\n  }\n}\n', [("a", "1")]),
+        ('{\n  "entries": {\n    "a": "1"\n  },\n  "more": {\n    "b": "2"\n  }\n}\n', [("a", "1")]),
+    ],
+)
+def test_i18n_in_any_layout(spark, tmp_path, text, rows):
+    (tmp_path / "c.json").write_text(text)
+    assert sorted(tuple(r) for r in readers.read_i18n_json(spark, f"{tmp_path}/c.json").collect()) == rows
+
+
+def test_i18n_without_a_comma_is_an_error(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{\n  "entries": {\n    "a": "1"\n    "b": "2"\n  }\n}\n')
+    with pytest.raises(Exception, match="JSONDecodeError"):
+        readers.read_i18n_json(spark, f"{tmp_path}/c.json").collect()
