@@ -59,9 +59,13 @@ def skip_histogram(df: DataFrame, reason: Column, *, keys: list[str]) -> DataFra
 
 
 def case_map(tokens: DataFrame, *, keys: list[str], compact: bool = False) -> DataFrame:
-    """Lower-case token to its sorted spellings, or with ``compact`` to the smallest of them."""
-    made = F.min("token").alias("form") if compact else F.array_sort(F.collect_set("token")).alias("forms")
-    return tokens.groupBy(*keys, F.lower("token").alias("token_lower")).agg(made)
+    """Lower-case token to its sorted spellings, or with ``compact`` to the smallest of them.
+
+    Repeated tokens go first, by hashing: a set or minimum of texts would sort every occurrence (and Spark leaves out
+    a distinct() below either)."""
+    found = F.collect_list("token")
+    made = F.array_min(found).alias("form") if compact else F.array_sort(found).alias("forms")
+    return tokens.select(*keys, "token").distinct().groupBy(*keys, F.lower("token").alias("token_lower")).agg(made)
 
 
 def case_evidence(df: DataFrame, text: Column, *, keys: list[str]) -> DataFrame:

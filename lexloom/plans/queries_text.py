@@ -230,9 +230,8 @@ def first_words(spark, sf_dir):
 
 @query(S.statement(S.TOK, select="SELECT lang, lower(token) AS token_lower, array_to_string(list_sort(list(DISTINCT token)), ' | ') AS forms, min(token) AS first_form FROM tok GROUP BY 1, 2"))
 def case_map(spark, sf_dir):
-    rows = doc_tokens(spark, sf_dir).select("lang", "token")
-    full, compact = O.case_map(rows, keys=["lang"]), O.case_map(rows, keys=["lang"], compact=True)
-    return full.join(compact, ["lang", "token_lower"]).select("lang", "token_lower", F.array_join("forms", " | ").alias("forms"), F.col("form").alias("first_form"))
+    cases = O.case_map(doc_tokens(spark, sf_dir), keys=["lang"])
+    return cases.select("lang", "token_lower", F.array_join("forms", " | ").alias("forms"), F.get("forms", F.lit(0)).alias("first_form"))
 
 
 _WORD = f"[{C.LETTER}][{C.LETTER}'’-]*"
