@@ -164,7 +164,7 @@ def flat_list_file(spark, sf_dir):
 @query(S.statement(*_WITH, select="""SELECT kind, game, token, array_to_string(lineage_tags, ' | ') AS lineage_tags, array_to_string(assigned_flags, ' | ') AS assigned_flags, in_tb_tokens, filter_status FROM report, (VALUES ('csv'), ('jsonl')) v(kind)"""))
 def report_files(spark, sf_dir):
     path = shared_path(spark, "report")
-    paths = writers.write_report(report(spark, sf_dir), path)
+    paths = writers.write_report(cut(report(spark, sf_dir), "report"), path)
     parts = [readers.read_report(spark, p).select(F.lit(kind).alias("kind"), "game", "token", F.array_join("lineage_tags", " | ").alias("lineage_tags"), F.array_join("assigned_flags", " | ").alias("assigned_flags"), "in_tb_tokens", "filter_status") for kind, p in paths.items()]
     return parts[0].unionByName(parts[1])
 

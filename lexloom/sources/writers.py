@@ -227,8 +227,8 @@ def write_removed(rows: DataFrame, path: str) -> None:
     write_csv(rows.where("is_wrong").orderBy("confidence", "key"), path)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_jsonl(df: DataFrame, path: str, **options) -> None:
+    df.write.mode("overwrite").options(**options).json(path)
 
 
 def write_wordforms(results: DataFrame, csv_path: str | None = None, jsonl_path: str | None = None) -> None:
@@ -263,12 +263,13 @@ def write_dictionary(words: DataFrame, path: str, flag_mode: str = "single") ->
 
 
 def write_report(df: DataFrame, path: str, formats: tuple[str, ...] = ("csv", "jsonl")) -> dict[str, str]:
-    """A consolidated report as JSON lines, flat CSV, or both."""
+    """A consolidated report as JSON lines, flat CSV, or both, in folders of files that gzip compresses: names and
+    lists repeat in every row."""
     out = {}
     if "jsonl" in formats:
-        write_jsonl(df, out.setdefault("jsonl", f"{path}.jsonl"))
+        write_jsonl(df, out.setdefault("jsonl", f"{path}.jsonl"), compression="gzip")
     if "csv" in formats:
-        csv_report(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(out.setdefault("csv", f"{path}.csv"))
+        csv_report(df).write.mode("overwrite").option("compression", "gzip").option("header", True).option("escape", '"').csv(out.setdefault("csv", f"{path}.csv"))
     return out
 
 

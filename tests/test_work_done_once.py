@@ -1,7 +1,8 @@
 """Texts are taken apart once, and repeated tokens go before spellings are collected or compared."""
 
 from lexloom.operators import tokens as O
-from lexloom.plans import queries_text
+from lexloom.plans import queries_files, queries_text
+from lexloom.sources import readers, writers
 
 
 def _plan(df) -> str:
@@ -22,3 +23,16 @@ def test_case_map_takes_texts_apart_once(spark, tmp_path):
     for compact in (False, True):
         assert "HashAggregate(keys=[lang#" in _plan(O.case_map(words, keys=["lang"], compact=compact)).split("collect_list(token")[-1]
     assert {(r["token_lower"], tuple(r["forms"])) for r in O.case_map(words, keys=["lang"]).collect()} == {("bo", ("Bo", "bo")), (None, ())}
+
+
+def test_reports_are_computed_once_and_compressed(spark, tmp_path, monkeypatch):
+    given, write = [], writers.write_report
+    monkeypatch.setattr(writers, "write_report", lambda df, path: write(given.append(df) or df, f"{tmp_path}/r"))
+    df = queries_files.report_files(spark, _documents(spark, tmp_path))
+    assert "Generate explode" not in _plan(given[0])
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) == 2 * given[0].count() and {r[0] for r in rows} == {"csv", "jsonl"}
+    for end in ("csv", "jsonl"):
+        parts = list((tmp_path / f"r.{end}").glob("part-*"))
+        assert parts and all(p.name.endswith(".gz") for p in parts)
+        assert {r["token"] for r in readers.read_report(spark, f"{tmp_path}/r.{end}").collect()} == {r["token"] for r in given[0].collect()}
