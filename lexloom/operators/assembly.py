@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
@@ -166,12 +166,16 @@ def prune_merged(merged: DataFrame, rules: DataFrame, *, skip_flags: list[str] =
     return merged.where(F.size("flags") > 0).unionByName(plain.join(low, F.lower(plain["word"]) == low["ll_low"], "left_anti"))
 
 
-def better_surface(word: str = "word"):
+def better_surface(word: str | Column = "word"):
     """Order by which the best of several spellings comes first: capitalised, then shorter, then by letter."""
+    word = F.col(word) if isinstance(word, str) else word
     first = F.substring(word, 1, 1)
     capital = (first == F.upper(first)) & (first != F.lower(first))
-    return F.struct((~capital).alias("c"), F.char_length(word).alias("n"), F.lower(word).alias("l"), F.col(word).alias("w"))
+    return F.struct((~capital).alias("c"), F.char_length(word).alias("n"), F.lower(word).alias("l"), word.alias("w"))
 
 
 def representative_surface(words: DataFrame, *, keys: list[str], word: str = "word") -> DataFrame:
-    return words.groupBy(*keys, F.lower(word).alias("word_lower")).agg(F.min_by(word, better_surface(word)).alias("surface"))
+    """The best spelling of each word. Repeated words go first, by hashing: a minimum of texts sorts what it is given,
+    and Spark leaves out a distinct() below one. The few spellings of a word are compared as a list."""
+    best = F.array_min(F.transform(F.collect_list(word), better_surface))["w"]
+    return words.select(*keys, word).distinct().groupBy(*keys, F.lower(word).alias("word_lower")).agg(best.alias("surface"))

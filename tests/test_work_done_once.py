@@ -1,7 +1,10 @@
 """Texts are taken apart once, and repeated tokens go before spellings are collected or compared."""
 
+from pyspark.sql import functions as F
+
+from lexloom.operators import assembly
 from lexloom.operators import tokens as O
-from lexloom.plans import queries_files, queries_text
+from lexloom.plans import queries_affix, queries_files, queries_text
 from lexloom.sources import readers, writers
 
 
@@ -25,6 +28,15 @@ def test_case_map_takes_texts_apart_once(spark, tmp_path):
     assert {(r["token_lower"], tuple(r["forms"])) for r in O.case_map(words, keys=["lang"]).collect()} == {("bo", ("Bo", "bo")), (None, ())}
 
 
+def test_surfaces_are_compared_once_for_each_spelling(spark, tmp_path):
+    df = queries_affix.representative_surface(spark, _documents(spark, tmp_path))
+    below = _plan(df).split("collect_list(")[-1]  # what the first aggregate of spellings is given
+    assert "HashAggregate(keys=[lang#" in below
+    assert ("en", "tofu", "TOFU") in {tuple(r) for r in df.collect()}
+    many = spark.range(1000).select(F.lit("bo").alias("word")).unionByName(spark.createDataFrame([("Bo",)], "word string"))
+    assert [tuple(r) for r in assembly.representative_surface(many, keys=[]).collect()] == [("bo", "Bo")]
+
+
 def test_reports_are_computed_once_and_compressed(spark, tmp_path, monkeypatch):
     given, write = [], writers.write_report
     monkeypatch.setattr(writers, "write_report", lambda df, path: write(given.append(df) or df, f"{tmp_path}/r"))
